@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from tabmill.catalog import tables  # noqa: F401
+from tabmill.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -87,10 +87,10 @@ def file_headers(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.text(f"{folder.rstrip('/')}/*.csv").select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
         "value",
     )
-    first = F.min_by("value", F.monotonically_increasing_id()).alias("header")
-    return lines.where("start = 0").groupBy("path").agg(first)
+    return lines.where("start = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
 
 
 def scan_folder(

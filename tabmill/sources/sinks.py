@@ -22,6 +22,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", quote_all: bool =
         .option("escape", '"')
         .option("quoteAll", quote_all)
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
