@@ -11,7 +11,6 @@ from tabmill.operators import binning as B
 from tabmill.operators import encode as E
 from tabmill.operators import scale as S
 from tabmill.operators.expand import expand_dict
-from tabmill.operators.impute import fill_values
 from tabmill.operators.quantiles import medians
 from tabmill.operators.split import random_split
 from tabmill.plans.config import LISTINGS
@@ -203,8 +202,7 @@ def i14(spark, d):
 )
 def j01(spark, d):
     lines = table(spark, d, "lineitem").select(*CAR_KEYS, without("l_extendedprice", "l_partkey", 8).alias("x"))
-    filled, _ = S.clip_and_fill(lines, S.fit_clip(lines, ["x"]))
-    return filled.select(*CAR_KEYS, *rounded("x", digits=4))
+    return S.apply_limits(lines, S.fit_clip(lines, ["x"])).select(*CAR_KEYS, *rounded("x", digits=4))
 
 
 @query(
@@ -219,8 +217,7 @@ def j02(spark, d):
     events = table(spark, d, "events").select(
         "event_id", without(F.col("value") * F.col("value"), "event_id", 9).alias("x"), (F.col("event_id") % 50 == 0).cast("int").alias("flag")
     )
-    filled, _ = S.clip_and_fill(events, S.fit_winsor(events, ["x", "flag"]))
-    return filled.select("event_id", *rounded("x", digits=4), "flag")
+    return S.apply_limits(events, S.fit_winsor(events, ["x", "flag"])).select("event_id", *rounded("x", digits=4), "flag")
 
 
 def edge_sum(column: str, edges: list[str]) -> str:
@@ -361,9 +358,8 @@ def k19(spark, d):
     split = random_split(orders, ["o_orderkey"])
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
     limits = S.fit_clip(train, ["x"])
-    filled, middle = S.clip_and_fill(train, limits)
-    scale = S.fit_scale(filled, ["x"])
-    applied = S.apply_scale(fill_values(S.apply_limits(test, limits), middle), scale)
+    scale = S.fit_scale(S.apply_limits(train, limits), ["x"])
+    applied = S.apply_scale(S.apply_limits(test, limits), scale)
     return applied.select("o_orderkey", *rounded("x"))
 
 
