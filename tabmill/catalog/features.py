@@ -15,6 +15,7 @@ from tabmill.operators.quantiles import medians
 from tabmill.operators.split import random_split
 from tabmill.plans.config import LISTINGS
 from tabmill.plans.features import FeatureState, add_expanded, fit_features
+from tabmill.runtime import staged
 
 
 @query(
@@ -386,7 +387,7 @@ def listings(spark, d):
 
 @query("k19_feature_job")
 def k19_job(spark, d):
-    rows = listings(spark, d)
+    rows = staged(listings(spark, d), "listings")
     _, state = fit_features(rows, 2005)
     path = scratch(spark, "state")
     state.save(spark, path)

@@ -19,8 +19,8 @@ from pyspark.sql.window import Window
 from tabmill.operators.lookup import ROWS, sized_join
 from tabmill.runtime import ident, sized
 
-# Most distinct values that one aggregation task may hold.
-DISTINCT_LIMIT = 1_000_000
+# Most distinct values, over all columns, that one aggregation task may hold.
+DISTINCT_LIMIT = 2_000_000
 _GRID = [i / 128 for i in range(129)]
 _ACCURACY = 4000
 _MAX_ROUNDS = 12
@@ -33,14 +33,19 @@ def quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear quantiles of several columns over the whole table.
 
-    One pass measures all columns; columns with few distinct values take one
-    more pass together, the others are narrowed down. Nulls are skipped.
+    A small table takes one pass. Otherwise one pass measures all columns;
+    those with few distinct values take one more pass together, the others are
+    narrowed down. Nulls are skipped.
     """
     names = list(probs)
     if not names:
         return {}
-    seen = df.agg(*[F.approx_count_distinct(ident(n)).alias(f"d{i}") for i, n in enumerate(names)]).first()
-    distinct = {n: seen[i] for i, n in enumerate(names)}
+    rows = df.count()
+    if rows * len(names) <= distinct_limit:
+        distinct = dict.fromkeys(names, rows)
+    else:
+        seen = df.agg(*[F.approx_count_distinct(ident(n)).alias(f"d{i}") for i, n in enumerate(names)]).first()
+        distinct = {n: seen[i] for i, n in enumerate(names)}
     out: dict[str, list[float | None]] = {}
     for batch in _batches([n for n in names if distinct[n] <= distinct_limit], distinct, distinct_limit):
         row = df.agg(*[_percentiles(ident(n), probs[n]).alias(f"p{i}") for i, n in enumerate(batch)]).first()
@@ -64,13 +69,12 @@ def group_medians(
 ) -> DataFrame:
     """Exact median of each column per group, with the group's row count.
 
-    A group with too many distinct values for one buffer is taken out and
-    narrowed down instead.
+    A group with too many rows for one buffer is taken out and narrowed down
+    instead. There are at most rows / limit such groups.
     """
-    stats = [F.approx_count_distinct(ident(n)).alias(f"d{i}") for i, n in enumerate(names)]
-    too_many = F.greatest(F.lit(0).cast("bigint"), *[F.col(f"d{i}") for i in range(len(names))]) > distinct_limit
     keys = [ident(k) for k in by]
-    hot = sized(df.groupBy(*keys).agg(*stats).where(too_many).select(*keys))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
+    hot = sized(counts.where(F.col(ROWS) * len(names) > distinct_limit).select(*keys))
     plain = [F.percentile(ident(n), 0.5).alias(n) for n in names]
     if hot.rows == 0:
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS), *plain)
