@@ -20,7 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Methods above 8000 bytes of bytecode are never JIT-compiled: wide
+    # projections then run many times slower than in split-up form.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -33,6 +35,12 @@ def build_session(app_name: str = "tabmill", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def for_wide_plans(spark: SparkSession) -> None:
+    """Give a session that was built elsewhere the code size limit of wide projections."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, SESSION_DEFAULTS[key])
+
+
 def ident(name: str) -> Column:
     """Column by its exact name: expanded keys hold dots, blanks and Cyrillic."""
     return F.col(quoted(name))
