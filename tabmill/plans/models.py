@@ -21,14 +21,14 @@ MAX_DEPTH = 30
 
 @dataclass(frozen=True)
 class LabelShape:
-    """Row count and sample deviation of the label: penalties are stated against them."""
+    """Row count and population deviation of the label: penalties are stated against them."""
 
     rows: int
     deviation: float
 
 
 def label_shape(train: DataFrame, label: str = LABEL) -> LabelShape:
-    row = train.agg(F.count(ident(label)), F.stddev_samp(ident(label))).first()
+    row = train.agg(F.count(ident(label)), F.stddev_pop(ident(label))).first()
     return LabelShape(row[0], row[1] or 1.0)
 
 
@@ -39,8 +39,8 @@ def least_squares() -> LinearRegression:
 def ridge(shape: LabelShape, alpha: float = 1.0) -> LinearRegression:
     """Squared error plus alpha times the squared weights of population-scaled features.
 
-    MLlib divides the error by 2n and the penalty by the label deviation, and
-    its scaler uses the sample deviation: hence the factors.
+    MLlib divides the error by 2n and the penalty by the label's population
+    deviation, and its scaler uses the sample deviation: hence the factors.
     """
     n = shape.rows
     penalty = alpha * shape.deviation / n * (n - 1) / n
