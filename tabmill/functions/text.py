@@ -17,7 +17,11 @@ MISSING_TOKENS = (
 )
 
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_BLANK_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# All characters that count as white space at the ends of a text.
+SPACES = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def text_or_nan(c: Column) -> Column:
@@ -26,7 +30,7 @@ def text_or_nan(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Drop all kinds of white space at both ends, not only the space."""
-    return F.regexp_replace(c, _BLANK_ENDS, "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def clean_key(c: Column) -> Column:

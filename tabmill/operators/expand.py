@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabmill.functions.nested import dict_is_blank, find_urls, list_count, list_first, parse_dict, parse_list
+from tabmill.functions.nested import (
+    dict_is_blank,
+    dict_map,
+    dict_text,
+    find_urls,
+    json_map,
+    list_count,
+    list_first,
+    parse_list,
+)
 from tabmill.runtime import ident
 
 # More keys than this are not columns; the job stops with an error instead of cutting.
 MAX_KEYS = 2000
 
 
+def with_map(df: DataFrame, name: str) -> DataFrame:
+    """Add `_map`, step by step, so that each text is trimmed and parsed once."""
+    text = df.withColumn("_text", dict_text(ident(name)))
+    parsed = text.withColumn("_json", json_map(F.col("_text")))
+    return parsed.withColumn("_map", dict_map(F.col("_text"), F.col("_json"))).drop("_text", "_json")
+
+
 def dict_keys(df: DataFrame, name: str, max_keys: int = MAX_KEYS) -> list[str]:
     """Sorted union of the keys over the whole table; too many are an error."""
-    keys = df.select(F.explode(F.map_keys(parse_dict(ident(name)))).alias("k")).distinct()
+    keys = with_map(df.select(ident(name)), name).select(F.explode(F.map_keys("_map")).alias("k")).distinct()
     found = [r["k"] for r in keys.limit(max_keys + 1).collect()]
     if len(found) > max_keys:
         raise ValueError(f"column {name!r} holds more than {max_keys} different keys")
@@ -29,8 +45,7 @@ def expand_dict(df: DataFrame, name: str, keys: list[str] | None = None, max_key
     clash = [k for k in keys if f"{name}_{k}" in df.columns]
     if clash:
         raise ValueError(f"expanded columns exist already: {clash}")
-    parsed = df.withColumn("_map", parse_dict(ident(name)))
-    return parsed.select(
+    return with_map(df, name).select(
         *[ident(c) for c in df.columns],
         *[F.try_element_at("_map", F.lit(k)).alias(f"{name}_{k}") for k in keys],
     )
@@ -38,8 +53,9 @@ def expand_dict(df: DataFrame, name: str, keys: list[str] | None = None, max_key
 
 def dict_statistics(df: DataFrame, name: str) -> DataFrame:
     """Rows parsed, rows that could not be read, and blank rows."""
-    blank = dict_is_blank(ident(name))
-    marked = df.select(blank.alias("blank"), parse_dict(ident(name)).isNotNull().alias("ok"))
+    marked = with_map(df.select(ident(name)), name).select(
+        dict_is_blank(ident(name)).alias("blank"), F.col("_map").isNotNull().alias("ok")
+    )
     return marked.agg(
         F.count_if(F.col("ok")).alias("parsed"),
         F.count_if(~F.col("blank") & ~F.col("ok")).alias("failed"),
@@ -48,7 +64,7 @@ def dict_statistics(df: DataFrame, name: str) -> DataFrame:
 
 
 def dict_failures(df: DataFrame, name: str, n: int = 10) -> DataFrame:
-    return df.where(~dict_is_blank(ident(name)) & parse_dict(ident(name)).isNull()).limit(n)
+    return with_map(df, name).where(~dict_is_blank(ident(name)) & F.col("_map").isNull()).drop("_map").limit(n)
 
 
 def expand_list(df: DataFrame, name: str, url_search: bool = False) -> DataFrame:
