@@ -69,26 +69,24 @@ def range_index(y: Column, bounds: Sequence[float]) -> Column:
 def range_r2(df: DataFrame, actual: str, predicted: str, bounds: Sequence[float] = PRICE_RANGES) -> DataFrame:
     """R², rows and share of rows per range; empty ranges are listed too.
 
-    R² needs more than five rows and two different values.
+    R² needs more than five rows and two different values. All ranges come
+    from one aggregate with a single result row.
     """
-    y, p = ident(actual), ident(predicted)
-    labels = [(i, range_label(low, high)) for i, (low, high) in enumerate(zip(bounds, bounds[1:]))]
-    every = df.sparkSession.createDataFrame(labels, "range_id int, price_range string")
-    found = (
-        df.groupBy(range_index(y, bounds).alias("range_id"))
-        .agg(F.count(F.lit(1)).alias("samples"), F.min(y).alias("_lo"), F.max(y).alias("_hi"), r2_of(y, p).alias("_r2"))
-    )
-    total = found.agg(F.sum("samples").alias("_total"))
-    enough = (F.col("samples") > MIN_RANGE_ROWS) & (F.col("_lo") < F.col("_hi"))
-    # Both sides are tiny: one row per range, and a single total.
-    joined = F.broadcast(every).join(found, "range_id", "left").join(F.broadcast(total))
-    return joined.select(
-        "range_id",
-        "price_range",
-        F.when(enough, F.col("_r2")).alias("r2"),
-        F.coalesce("samples", F.lit(0)).alias("samples"),
-        F.try_divide(F.coalesce("samples", F.lit(0)), F.col("_total")).alias("weight"),
-    )
+    place, parts, entries = range_index(ident(actual), bounds), [F.count(F.lit(1)).alias("total")], []
+    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        y, p = F.when(place == i, ident(actual)), F.when(place == i, ident(predicted))
+        parts += [F.count(y).alias(f"n{i}"), (F.min(y) < F.max(y)).alias(f"varies{i}"), r2_of(y, p).alias(f"r2_{i}")]
+        n = F.col(f"n{i}")
+        entries.append(
+            F.struct(
+                F.lit(i).alias("range_id"),
+                F.lit(range_label(low, high)).alias("price_range"),
+                F.when((n > MIN_RANGE_ROWS) & F.col(f"varies{i}"), F.col(f"r2_{i}")).alias("r2"),
+                n.alias("samples"),
+                F.try_divide(n, F.col("total")).alias("weight"),
+            )
+        )
+    return df.agg(*parts).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def weighted_r2(ranges: DataFrame) -> DataFrame:

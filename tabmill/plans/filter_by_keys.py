@@ -56,12 +56,14 @@ def filter_by_keys(
 ) -> FilterResult:
     """Scan, build keys, keep listed rows with their file names; repeats stay.
 
-    `annotated_path` also stores all rows with their key, one folder per file.
-    The kept rows are staged once for the reports.
+    `annotated_path` also stores all rows with their key, one folder per file;
+    the text is then parsed once and the match reads the stored columns. The
+    kept rows are staged once for the reports.
     """
     scan = scan_folder(spark, folder, parts, sep)
     keyed = K.with_key(scan.rows, parts, key)
     if annotated_path:
         write_per_source(keyed, annotated_path)
+        keyed = spark.read.schema(keyed.schema).parquet(annotated_path)
     kept = staged(K.keep_listed(keyed, keys, key), "matched", work_folder)
     return FilterResult(kept, scan.report, key)
