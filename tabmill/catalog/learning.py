@@ -38,11 +38,15 @@ def k01(spark, d):
     )
 
 
+# Two standardised columns: the components are their sum and difference, the sum
+# first when they correlate positively.
 @query(
     "k02_pca",
     """WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_extendedprice) AS mp, stddev_pop(l_extendedprice) AS sp FROM lineitem),
-    z AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_quantity - mq) / sq AS a, (l_extendedprice - mp) / sp AS b FROM lineitem, s)
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round((a + b) / sqrt(2), 6) AS line_pca_1, round((a - b) / sqrt(2), 6) AS line_pca_2 FROM z""",
+    z AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_quantity - mq) / sq AS a, (l_extendedprice - mp) / sp AS b FROM lineitem, s),
+    c AS (SELECT corr(l_quantity, l_extendedprice) >= 0 AS together FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(CASE WHEN together THEN a + b ELSE a - b END / sqrt(2), 6) AS line_pca_1,
+    round(CASE WHEN together THEN a - b ELSE a + b END / sqrt(2), 6) AS line_pca_2 FROM z, c""",
 )
 def k02(spark, d):
     names = ["l_quantity", "l_extendedprice"]
