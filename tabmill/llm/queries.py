@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import simhash
+from tabmill.llm import robust_rules, simhash
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -19,3 +19,8 @@ def query(fn):
 @query
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op10_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return robust_rules.verdicts(table(spark, folder, "documents"))
