@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import robust_rules, simhash
+from tabmill.llm import robust_rules, secret_scan, simhash
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -24,3 +24,8 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return robust_rules.verdicts(table(spark, folder, "documents"))
+
+
+@query
+def op6_assignment_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"))
