@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import robust_rules, secret_scan, simhash
+from tabmill.llm import packing, robust_rules, secret_scan, simhash
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -29,3 +29,8 @@ def op10_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_assignment_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
+
+
+@query
+def op7_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
