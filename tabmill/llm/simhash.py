@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabmill.llm.components import Forest, connected_components
 from tabmill.llm.shared import staged, texts_of
@@ -55,15 +56,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long. A-Z are lower-cased; a null text is empty."""
+def with_fingerprint(docs: DataFrame, column: str = "fp", shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """`docs` and the fingerprint of its text as a signed long. A-Z are lower-cased; a null text is empty."""
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t, shingle) for t in texts_of(batch.column(1))), np.uint64, batch.num_rows)
-            yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.fromiter((fingerprint(t, shingle) for t in texts_of(batch.column(at))), np.uint64, batch.num_rows)
+            yield pa.record_batch([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, column])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Forest:
@@ -123,6 +125,12 @@ def linked_fingerprints(values: DataFrame, radius: int = RADIUS, tile_rows: int
     return pairs.select("a", "b", (F.col("tile") == F.col("other")).alias("same")).mapInArrow(_compare(radius), "a long, b long")
 
 
+def groups(values: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(fp, group) for the different fingerprints in `values` (fp): equal groups are linked."""
+    labels = connected_components(linked_fingerprints(values, radius, tile_rows))
+    return values.select("fp").join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("group"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """One row for each row of `docs` (doc_id, text): doc_id, fingerprint, component_id.
 
@@ -131,9 +139,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     rows; a null doc_id never names a component unless all its rows are null;
     an empty table gives no rows; further columns of `docs` are ignored.
     """
-    fps = staged(fingerprints(docs, shingle), "fingerprints")
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    fps = staged(with_fingerprint(slim, "fp", shingle).select("doc_id", "fp"), "fingerprints")
     first = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("doc")), "fingerprint-rows")
-    labels = connected_components(linked_fingerprints(first, radius, tile_rows))
-    grouped = first.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("group", F.coalesce("component", "fp"))
+    grouped = first.join(groups(first, radius, tile_rows), "fp")
     named = grouped.join(grouped.groupBy("group").agg(F.min("doc").alias("component_id")), "group").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """The row of the smallest doc_id of each group, with its columns as they were; of repeated rows one stays."""
+    row, fp = "_row", "_fp"
+    while {row, fp} & set(docs.columns):
+        row, fp = f"_{row}", f"_{fp}"
+    marked = staged(with_fingerprint(docs.withColumn(row, F.monotonically_increasing_id()), fp, shingle), "fingerprinted")
+    slim = marked.select(F.col(fp).alias("fp"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row")).alias("who"))
+    first = staged(slim.groupBy("fp").agg(F.min("who").alias("who")), "fingerprint-rows")
+    grouped = first.join(groups(first, radius, tile_rows), "fp")
+    named = grouped.join(grouped.groupBy("group").agg(F.min("who").alias("keeper")), "group").select("fp", "keeper")
+    gone = slim.join(named, "fp").where("who.row <> keeper.row").select(F.col("who.row").alias(row))
+    return marked.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
