@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import packing, robust_rules, secret_scan, simhash
+from tabmill.llm import hilbert_shards, packing, robust_rules, secret_scan, simhash
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -34,3 +34,8 @@ def op6_assignment_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
+
+
+@query
+def op1_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert_shards.sharded(table(spark, folder, "documents"))
