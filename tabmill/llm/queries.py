@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import hilbert_shards, packing, robust_rules, secret_scan, simhash
+from tabmill.llm import chat_format, hilbert_shards, packing, robust_rules, secret_scan, simhash
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -39,3 +39,11 @@ def op7_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards.sharded(table(spark, folder, "documents"))
+
+
+@query
+def op9_role_machine_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.digests(chat_format.with_probe(table(spark, folder, "conversations")))
+
+
+ORACLES["op9_role_machine_chat_format"] = chat_format.ORACLE_SQL
