@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import chat_format, hilbert_shards, packing, robust_rules, secret_scan, simhash, style_tree
+from tabmill.llm import chat_format, hilbert_shards, hnsw, packing, robust_rules, secret_scan, simhash, style_tree
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -52,3 +52,8 @@ ORACLES["op9_role_machine_chat_format"] = chat_format.ORACLE_SQL
 @query
 def op4_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     return style_tree.main_text(table(spark, folder, "pages"))
+
+
+@query
+def op3_hnsw_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, folder, "embeddings"))
