@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabmill.llm.components import Forest, connected_components
-from tabmill.llm.shared import staged
+from tabmill.llm.shared import for_workers, staged
 
 RADIUS = 0.95
 SHARD_ROWS = 50_000
@@ -249,7 +249,7 @@ def usable(vectors: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column(0), pa.array(dims, pa.int32()), pa.array(blobs, pa.binary()), pa.array(keys, pa.binary())], names=["vec_id", "dim", "vec", "key"])
 
     slim = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>"))
-    return slim.mapInArrow(run, "vec_id long, dim int, vec binary, key binary")
+    return for_workers(slim).mapInArrow(run, "vec_id long, dim int, vec binary, key binary")
 
 
 def _build_shard(part: pd.DataFrame) -> pd.DataFrame:

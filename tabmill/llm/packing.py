@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabmill.llm.shared import staged
+from tabmill.llm.shared import for_workers, staged
 
 CAPACITY = 4096
 END_ID = 1
@@ -101,7 +101,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
                 yield pa.record_batch(arrays[: 6 + with_ids], names=["row", "doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 + with_ids])
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "row long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
+    return for_workers(source).mapInArrow(run, "row long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
 @dataclass

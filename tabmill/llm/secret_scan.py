@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabmill.llm.shared import for_workers
+
 KINDS = ("assign", "access", "hex", "literal")
 MASK = "[secret]"
 LEAST_LITERAL = 8
@@ -206,7 +208,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in columns[:3]], *[pa.array(c, pa.string()) for c in columns[3:]]],
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return for_workers(slim).mapInArrow(
         run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
@@ -229,4 +232,4 @@ def hide_secrets(docs: DataFrame) -> DataFrame:
                 columns[length] = pa.array(lengths, batch.schema.field(length).type)
             yield pa.record_batch(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return for_workers(docs).mapInArrow(run, docs.schema)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmill.llm.components import Forest, connected_components
-from tabmill.llm.shared import staged, texts_of
+from tabmill.llm.shared import for_workers, staged, texts_of
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -65,7 +65,7 @@ def with_fingerprint(docs: DataFrame, column: str = "fp", shingle: int = SHINGLE
             found = np.fromiter((fingerprint(t, shingle) for t in texts_of(batch.column(at))), np.uint64, batch.num_rows)
             yield pa.record_batch([*batch.columns, pa.array(found.view(np.int64))], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
+    return for_workers(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Forest:
@@ -122,7 +122,8 @@ def linked_fingerprints(values: DataFrame, radius: int = RADIUS, tile_rows: int
     right = laid.select(F.col("tile").alias("other"), F.col("fps").alias("b"))
     n = max(spark.sparkContext.defaultParallelism * 2, starts[-1])
     pairs = left.join(right, "other").repartition(n, "tile", "other")
-    return pairs.select("a", "b", (F.col("tile") == F.col("other")).alias("same")).mapInArrow(_compare(radius), "a long, b long")
+    pairs = pairs.select("a", "b", (F.col("tile") == F.col("other")).alias("same"))
+    return for_workers(pairs).mapInArrow(_compare(radius), "a long, b long")
 
 
 def groups(values: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabmill.llm.shared import staged
+from tabmill.llm.shared import for_workers, staged
 
 LEAST_PAGES = 10  # different pages of a host that a node needs before it is judged
 LEAST_IMPORTANCE = 0.15
@@ -233,7 +233,7 @@ def importance(pages: DataFrame) -> DataFrame:
                 columns = list(zip(*rows))
                 yield pa.record_batch([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=names)
 
-    seen = pages.select("host", "html").mapInArrow(run, "host string, page long, node long, style long, content long")
+    seen = for_workers(pages.select("host", "html")).mapInArrow(run, "host string, page long, node long, style long, content long")
     once = staged(seen.groupBy("host", "node", "page").agg(F.min("style").alias("style"), F.min("content").alias("content")), "style-nodes")
     out = None
     for kind, name in (("style", "presentation"), ("content", "content")):
@@ -269,4 +269,4 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least: float = L
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     joined = hosts.join(noise, "host", "left").select("page_id", "url", "html", "noise")
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return for_workers(joined).mapInArrow(run, "page_id long, url string, text string, n_chars long")
