@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import chat_format, hilbert_shards, hnsw, maxent_lm, packing, robust_rules, secret_scan, simhash, style_tree
+from tabmill.llm import chat_format, hilbert_shards, hnsw, maxent_lm, nbest_pieces, packing, robust_rules, secret_scan, simhash, style_tree
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -62,3 +62,8 @@ def op3_hnsw_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_hashed_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return maxent_lm.scored(table(spark, folder, "documents"))
+
+
+@query
+def op5_nbest_segmentation(spark: SparkSession, folder: str) -> DataFrame:
+    return nbest_pieces.encoded(table(spark, folder, "documents"))
