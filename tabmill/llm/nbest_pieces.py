@@ -32,7 +32,7 @@ N_BEST = 4
 SPACE = "▁"
 VOCABULARY = "piece_bpe_32k.model"
 PENALTY = 10.0  # of a character that has no piece, below the least score of one
-CACHED_WORDS = 300_000
+CACHED_WORDS = 300_000  # of the newer half of a worker's table
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -41,6 +41,21 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class _Words(dict):
+    """Numbers of words met so far. The older half of the table goes when it is full; words met again stay."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.of, self.older = vocabulary, {}
+
+    def __missing__(self, word: str) -> int:
+        number = self.older.get(word)
+        if number is None:
+            number = self.of._search(word)
+        self[word] = number
+        return number
+
+
 class Vocabulary:
     """Pieces with ids and scores. A character without a piece becomes the pieces of its bytes."""
 
@@ -48,16 +63,23 @@ class Vocabulary:
         self.text = [p for p, _ in pieces]
         special = skip | set(byte_ids or ()) | {unknown}
         self.known = {p: (i, s) for i, (p, s) in enumerate(pieces) if i not in special and p}
-        self.starts = {p[:k] for p in self.known for k in range(1, len(p) + 1)}
+        # All beginnings of pieces; those that aren't pieces have None.
+        self.starts = {p[:k]: None for p in self.known for k in range(1, len(p) + 1)} | self.known
         self.byte_ids, self.unknown = byte_ids, unknown
         self.byte_of = {i: b for b, i in enumerate(byte_ids or ())}
+        self.is_byte = np.isin(np.arange(len(pieces)), byte_ids or [])
         # Scores far below all others mark pieces that are there for the user's sake only.
         self.fallback = min((s for _, s in self.known.values() if s > -1e8), default=0.0) - PENALTY
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.known)
+        # Neighbours that no piece holds: the lattice falls apart between them.
+        self.beside = {p[k : k + 2] for p in self.known for k in range(len(p) - 1)}
         self._cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.words: dict[str, int] = {}
-        self.best: list[tuple[float, bytes]] = []
-        self.loss: list[float] = []
+        self._choices = lru_cache(20_000)(self.n_best)
+        self._start_table()
+
+    def _start_table(self) -> None:
+        self.words, self.size = _Words(self), 0
+        self.score, self.loss, self.ids = np.zeros(1024), np.zeros(1024), []
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -73,30 +95,34 @@ class Vocabulary:
         """Spaces as marks, with one before the first word."""
         return SPACE + text.replace(" ", SPACE) if text else ""
 
-    def _edges(self, text: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each place, the pieces that end there: where they begin, their score and ids."""
-        ends: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(len(text) + 1)]
-        for i in range(len(text)):
-            j, single = i + 1, False
-            while j <= len(text) and (piece := text[i:j]) in self.starts:
-                if piece in self.known:
-                    number, score = self.known[piece]
+    def _lattice(self, text: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
+        """For each place, the pieces that end there (where they begin, their score and ids), and the best score up to it."""
+        size, starts, missing = len(text), self.starts, ()
+        ends: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
+        best = [0.0] + [float("-inf")] * size
+        for i in range(size):
+            here, single = best[i], False
+            for j in range(i + 1, size + 1):
+                found = starts.get(text[i:j], missing)
+                if found is missing:
+                    break
+                if found is not None:
+                    number, score = found
                     ends[j].append((i, score, (number,)))
+                    if here + score > best[j]:
+                        best[j] = here + score
                     single |= j == i + 1
-                j += 1
             if not single:
                 ids = tuple(self.byte_ids[b] for b in text[i].encode("utf-8", "surrogatepass")) if self.byte_ids else (self.unknown,)
                 ends[i + 1].append((i, self.fallback, ids))
-        return ends
+                best[i + 1] = max(best[i + 1], here + self.fallback)
+        return ends, best
 
     def n_best(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to n segmentations of a normal text, best first: scores and ids."""
         if not text:
             return [(0.0, ())]
-        ends = self._edges(text)
-        best = [0.0] + [float("-inf")] * len(text)
-        for j in range(1, len(text) + 1):
-            best[j] = max(best[i] + score for i, score, _ in ends[j])
+        ends, best = self._lattice(text)
         out: list[tuple[float, tuple[int, ...]]] = []
         # Of equal values the one nearer to the start goes first; the count keeps the order the same in each run.
         count, heap = 0, [(-best[-1], len(text), 0, 0.0, None)]
@@ -115,35 +141,53 @@ class Vocabulary:
                 heapq.heappush(heap, (-(best[i] + total), i, count, total, (ids, path)))
         return out
 
-    def _number(self, word: str) -> int:
-        number = len(self.best)
-        found = self.n_best(word, 2)
-        self.words[word] = number
-        self.best.append((found[0][0], np.array(found[0][1], np.uint32).tobytes()))
-        self.loss.append(found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
+    def _search(self, word: str) -> int:
+        """A new number for a word, whose best segmentation and the cost of its second are put in the table."""
+        cuts = [0, *[k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.beside], len(word)]
+        score, loss, ids = 0.0, float("inf"), []
+        for a, b in zip(cuts, cuts[1:]):
+            found = self.n_best(word[a:b], 2)
+            score += found[0][0]
+            ids += found[0][1]
+            if len(found) > 1:
+                loss = min(loss, found[0][0] - found[1][0])
+        number = self.size
+        if number == len(self.score):
+            self.score, self.loss = (np.concatenate([x, np.zeros(number)]) for x in (self.score, self.loss))
+        self.score[number], self.loss[number] = score, loss
+        self.ids.append(np.array(ids, np.uint32).tobytes())
+        self.size += 1
         return number
 
+    def _make_room(self) -> None:
+        """Keep the words of the newer half, under new numbers."""
+        if len(self.words) < CACHED_WORDS:
+            return
+        newer = dict(self.words)
+        old_score, old_loss, old_ids = self.score, self.loss, self.ids
+        self._start_table()
+        numbers = np.fromiter(newer.values(), np.int64, len(newer))
+        self.size, self.ids = len(newer), [old_ids[k] for k in numbers.tolist()]
+        room = np.zeros(max(1024, len(newer)))
+        self.score, self.loss = (np.concatenate([x[numbers], room]) for x in (old_score, old_loss))
+        self.words.older = dict(zip(newer, range(len(newer))))
+
     def segmentations(self, text: str, n: int = N_BEST) -> list[tuple[float, np.ndarray]]:
         """Up to n segmentations of a text, best first."""
         normal = self.normal(text)
         if not self.by_word:
             return [(s, np.array(ids, np.uint32)) for s, ids in self.n_best(normal, n)]
         words = self._cut.findall(normal)
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-            self.best.clear()
-            self.loss.clear()
-        numbers = [self.words[w] if w in self.words else self._number(w) for w in words]
-        parts = [self.best[k][1] for k in numbers]
-        top = sum(self.best[k][0] for k in numbers)
+        self._make_room()
+        numbers = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        parts = list(map(self.ids.__getitem__, numbers.tolist()))
         # A word beyond the n-1 cheapest to change is not changed in any of the n best.
-        loss = np.array([self.loss[k] for k in numbers])
-        places = np.argsort(loss, kind="stable")[: n - 1] if n > 1 else []
+        loss = self.loss[numbers]
+        places = np.sort(np.argpartition(loss, n - 2)[: n - 1]) if 1 < n <= len(words) else np.arange(len(words) if n > 1 else 0)
+        top = float(self.score[numbers].sum())
         choices: list[tuple[float, tuple[tuple[int, tuple[int, ...]], ...]]] = [(0.0, ())]
         for place in (int(p) for p in places):
-            if loss[place] == float("inf"):
-                break
-            others = self.n_best(words[place], n)
+            others = self._choices(words[place], n)
             made = [(lost + others[0][0] - score, changed + (((place, ids),) if rank else ())) for lost, changed in choices for rank, (score, ids) in enumerate(others)]
             choices = heapq.nsmallest(n, made, key=lambda x: x[0])
         out = []
@@ -158,11 +202,11 @@ class Vocabulary:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that aren't UTF-8 become replacement marks."""
-        ids = ids.tolist()
-        if self.byte_of and not self.byte_of.keys().isdisjoint(ids):
-            out = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].encode() for i in ids).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        if self.is_byte[ids].any():
+            out = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].encode() for i in ids.tolist()).decode("utf-8", "replace")
         else:
-            out = "".join([self.text[i] for i in ids])
+            out = "".join(map(self.text.__getitem__, ids.tolist()))
         return out.replace(SPACE, " ").removeprefix(" ")
 
 
