@@ -45,7 +45,7 @@ FREQUENT_BYTES = 48  # longer words don't
 FLUSH_WORDS = 300_000  # different words a task holds before it sends their counts on
 BLOCK_ROWS = 1024  # of the weights in one message
 NEIGHBOUR_BLOCK = 256  # buckets in one message
-ROWS = 1 + 3 * ALL + PAIR_ROWS
+ROWS = 1 + 3 * ALL + PAIR_ROWS  # under 2^16
 
 END_TOKEN = b""  # no word is empty
 
@@ -81,9 +81,9 @@ def feature_rows(buckets: np.ndarray) -> np.ndarray:
 
 
 def _scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    scores = weights[rows[:, 1]]
+    scores = weights.take(rows[:, 1], 0)
     for k in range(2, rows.shape[1]):
-        scores += weights[rows[:, k]]
+        scores += weights.take(rows[:, k], 0)
     scores += weights[0]
     scores -= scores.max(1, keepdims=True)
     return scores
@@ -112,14 +112,17 @@ class Trainer:
         error[np.arange(len(classes)), classes] -= 1
         self._move(np.zeros(1, np.int64), np.array([len(classes)]), error.sum(0, keepdims=True))
         for k in range(1, rows.shape[1]):
-            order = np.argsort(rows[:, k], kind="stable")
-            row = rows[order, k]
+            row = rows[:, k].astype(np.uint16)  # sorted by radix
+            order = np.argsort(row, kind="stable")
+            row = row[order]
             begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            self._move(row[begin], np.diff(np.append(begin, len(row))), np.add.reduceat(error[order], begin, axis=0))
+            self._move(row[begin].astype(np.int64), np.diff(np.append(begin, len(row))), np.add.reduceat(error.take(order, 0), begin, axis=0))
 
     def _move(self, at: np.ndarray, count: np.ndarray, gradient: np.ndarray) -> None:
-        self.squares[at] += np.einsum("rk,rk->r", gradient, gradient) / CLASSES
-        self.weights[at] -= self.rate * gradient / np.sqrt(self.squares[at])[:, None]
+        squares = self.squares[at] + np.einsum("rk,rk->r", gradient, gradient) / CLASSES
+        self.squares[at] = squares
+        gradient *= (self.rate / np.sqrt(squares))[:, None]
+        self.weights[at] -= gradient
         self.touched[at] += count
 
 
