@@ -100,17 +100,11 @@ def hilbert_index(coordinates: list[Column], bits: int = BITS) -> Column:
     return F.transform(F.array(x), gray)[0]
 
 
-def sharded(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: int = SHARDS, bits: int = BITS, rank_rows: int = RANK_ROWS) -> DataFrame:
-    """One row for each row of `docs` (doc_id, text and the dimensions): its shard and place in it.
-
-    Law: rows. The number of rows of any two shards differs by one at most.
-    Columns: doc_id, size, text_crc32, law, shard, slot, grown_shard (null),
-    hilbert (place of the cell on the curve).
+def placed(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: int = SHARDS, bits: int = BITS, rank_rows: int = RANK_ROWS) -> DataFrame:
+    """(row, doc_id, size, text_crc32, hilbert, shard, slot): the place of each row of `docs`, and `row` its number.
 
-    Cases: a null text has size 1 and the sum of the empty text; null
-    dimensions are in the first bin; within a part of a cell equal texts stand
-    together; repeated rows get a slot each; fewer rows than shards leave shards
-    empty; an empty table gives no rows; further columns are ignored.
+    `row` is the row's place in `docs`, which must be a table at rest if it is
+    to be joined back.
     """
     bins = quantised(docs, dimensions, bits)
     cell = reduce(lambda a, b: a * (1 << bits) + b, bins, F.lit(0).cast("long"))
@@ -126,15 +120,48 @@ def sharded(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: i
     cells = staged(cells.withColumns({"before": F.coalesce(F.sum("n").over(upto), F.lit(0)), "total": F.sum("n").over(Window.partitionBy()), "parts": F.ceil(F.col("n") / rank_rows).cast("long")}), "curve")
 
     part = F.pmod(F.xxhash64("row"), F.col("parts"))
-    placed = rows.join(F.broadcast(cells.drop("n")), "cell").withColumn("part", part)
-    sizes = placed.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("n"))
+    dealt = rows.join(F.broadcast(cells.drop("n")), "cell").withColumn("part", part)
+    sizes = dealt.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("cell", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     rank = F.row_number().over(Window.partitionBy("cell", "part").orderBy("text_crc32", "size", "doc_id", "row")) - 1
-    ranked = placed.withColumn("rank", rank).join(starts, ["cell", "part"])
+    ranked = dealt.withColumn("rank", rank).join(starts, ["cell", "part"])
     position = F.col("before") + F.col("start") + F.col("rank")
     cut = ranked.withColumn("position", position).withColumn("shard", F.expr(f"(position * {shards}) div total").cast("int"))
-    return cut.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-        (F.col("position") - F.expr(f"(shard * total + {shards - 1}) div {shards}")).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+    slot = F.col("position") - F.expr(f"(shard * total + {shards - 1}) div {shards}")
+    return cut.select("row", "doc_id", "size", "text_crc32", "hilbert", "shard", slot.cast("long").alias("slot"))
+
+
+def sharded(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: int = SHARDS, bits: int = BITS, rank_rows: int = RANK_ROWS) -> DataFrame:
+    """One row for each row of `docs` (doc_id, text and the dimensions): its shard and place in it.
+
+    Law: rows. The number of rows of any two shards differs by one at most.
+    Columns: doc_id, size, text_crc32, law, shard, slot, grown_shard (null),
+    hilbert (place of the cell on the curve).
+
+    Cases: a null text has size 1 and the sum of the empty text; null
+    dimensions are in the first bin; within a part of a cell equal texts stand
+    together; repeated rows get a slot each; fewer rows than shards leave shards
+    empty; an empty table gives no rows; further columns are ignored.
+    """
+    return placed(docs, dimensions, shards, bits, rank_rows).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
+def write_shards(docs: DataFrame, path: str, dimensions: tuple[str, ...] = DIMENSIONS, shards: int = SHARDS, files: int = 1, bits: int = BITS) -> None:
+    """All columns of `docs`, a table at rest, as Parquet under path/shard=N, each file a run of the curve.
+
+    `files` is the number of files a shard is cut into. The texts are shuffled
+    once, to where they are written. A column named shard is left out.
+    """
+    row, slot = (next(n for n in (f"{'_' * k}{name}" for k in range(1, 99)) if n not in docs.columns) for name in ("row", "slot"))
+    where = placed(docs, dimensions, shards, bits).select(F.col("row").alias(row), "shard", F.col("slot").alias(slot))
+    rows = docs.drop("shard").withColumn(row, F.monotonically_increasing_id()).join(where, row).drop(row)
+    cut = rows.repartitionByRange(max(1, shards * files), "shard", slot).sortWithinPartitions("shard", slot)
+    cut.drop(slot).write.partitionBy("shard").parquet(path)
+
+
+def zone_map(written: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
+    """(shard, rows, least and most of each dimension): what a reader needs to skip shards."""
+    ends = [f(F.col(f"`{c}`")).alias(f"{c}_{end}") for c in dimensions for end, f in (("least", F.min), ("most", F.max))]
+    return written.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), *ends)

@@ -66,3 +66,16 @@ def test_few_rows_and_none(rows):
     assert h.sharded(rows([], SCHEMA)).collect() == []
     got = h.sharded(rows([(7, "a", None, None, None, "x", 1)] * 3, SCHEMA)).collect()
     assert [(r.doc_id, r.slot) for r in got] == [(7, 0)] * 3 and len({r.shard for r in got}) == 3
+
+
+def test_written_shards(spark, rows, tmp_path):
+    docs = documents()
+    rows([(*d, "x", 1) for d in docs], SCHEMA).write.parquet(str(tmp_path / "docs"))
+    df = spark.read.parquet(str(tmp_path / "docs"))
+    h.write_shards(df, str(tmp_path / "out"), files=2)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter((r.doc_id, r.text, r.lang, r.source, r.n_chars, r.cell) for r in out.collect()) == Counter((*d, 1) for d in docs)
+    want = {r.shard: r for r in h.sharded(df).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes")).collect()}
+    zones = {r.shard: r for r in h.zone_map(out).collect()}
+    assert {k: r.rows for k, r in zones.items()} == {k: r.rows for k, r in want.items()}
+    assert sum(r.lang_least is not None and r.lang_least <= "fr" <= r.lang_most for r in zones.values()) < 16
