@@ -18,11 +18,15 @@ best fit, longest first.
 from __future__ import annotations
 
 import bisect
+import json
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -33,39 +37,96 @@ from tabmill.llm.shared import for_workers, staged
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000  # of a worker's table of word ids; beyond it the table starts anew
+CACHED_WORDS = 400_000  # of the newer half of a worker's table of word ids
 RANK_ROWS = 50_000  # pieces ranked by one task
 TOKENIZER = "word_bpe_49k.json"
 
 
+# How the vocabulary file normalises and splits texts; the short way below holds for this only.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same for ASCII and the letters of Latin-1, which are in normal form and lower-cased one by one.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies write for each byte: printable bytes as they are, the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
 class WordIds:
     """Ids of texts by a tokenizer that never joins characters across white space.
 
     A text is cut at ASCII white space, which this tokenizer drops; each
-    different run is given to the tokenizer once.
+    different run is given to the tokenizer once, and a plain run as parts that
+    are met once, without the steps that change nothing in it. Both tables are
+    of bounded size: when the newer half of the words is full, the older goes.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(Path(path).read_text())
+        steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        splits = [x.get("pattern", {}).get("Regex") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        self.bare = None
+        if steps == _NORMAL and splits == [_SPLIT, None]:
+            self.bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None}))
+        self.special = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"]) or r"(?!)", re.I)
+        self.letters = _byte_letters()
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _add_parts(self, parts: set[str]) -> None:
+        new = list(parts.difference(self.parts))
+        if len(self.parts) + len(new) > CACHED_WORDS:
+            self.parts, new = {}, list(parts)
+        written = [p.encode().decode("latin-1").translate(self.letters) for p in new]
+        found = self.bare.encode(written, is_pretokenized=True, add_special_tokens=False)
+        ids, of = np.array(found.ids, np.uint32), np.array(found.word_ids, np.int64)
+        ends = np.searchsorted(of, np.arange(len(new)), side="right").tolist()
+        for part, a, b in zip(new, [0, *ends], ends):
+            self.parts[part] = ids[a:b].tobytes()
+
+    def _add(self, words: list[bytes]) -> None:
+        split, rest = {}, []
+        for word in words:
+            text = word.decode()
+            if self.bare and _PLAIN.fullmatch(text) and not self.special.search(text):
+                split[word] = _PLAIN_SPLIT.findall(text.lower())
+            else:
+                rest.append(word)
+        if split:
+            self._add_parts({p for parts in split.values() for p in parts})
+            for word, parts in split.items():
+                self.known[word] = b"".join(map(self.parts.__getitem__, parts))
+        for word, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
+            self.known[word] = np.array(e.ids, np.uint32).tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.encode().split() for t in texts]
-        new = {w for ws in words for w in ws}.difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, {w for ws in words for w in ws}
-        new = list(new)
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        new = []
+        for word in {w for ws in words for w in ws}.difference(self.known):
+            if (ids := self.older.get(word)) is None:
+                new.append(word)
+            else:
+                self.known[word] = ids
         for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, np.uint32).tobytes()
+            self._add(new[at : at + 20_000])
         return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), np.uint32) for ws in words]
 
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    """One table for a Python worker, shared by its tasks."""
+    """One table for a Python worker, shared by its tasks; a task has one core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordIds(path)
 
 
@@ -289,3 +350,10 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     ignored.
     """
     return pack(staged(pieces(docs, path, capacity, end_id, with_ids), "pieces"), capacity)
+
+
+def sequences(places: DataFrame) -> DataFrame:
+    """(sequence_id, ids, starts) from `packed(..., with_ids=True)`: the ids of each sequence and where its pieces start."""
+    rows = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    return places.groupBy("sequence_id").agg(rows.alias("rows")).select(
+        "sequence_id", F.flatten(F.transform("rows", lambda r: r["ids"])).alias("ids"), F.transform("rows", lambda r: r["offset"]).alias("starts"))
