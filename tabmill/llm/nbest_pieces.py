@@ -6,10 +6,11 @@ is left (A*), so that segmentations come out best first and no more of the
 lattice is visited than the N best need.
 
 In this vocabulary a space mark only begins a piece, so no piece crosses the
-start of a word: the lattice is a chain of word lattices, each different word
-is searched once, and the N best of the text are put together from the words
-whose second choice costs least. A vocabulary with other pieces is searched as
-one lattice a text.
+start of a word: the lattice is a chain of word lattices. Passes forward and
+backward over each different word, many at a time, give its best score and
+what its second choice costs; the N best of the text lie in the N-1 words where
+that is least, and A* lists the N best of those. A vocabulary with other pieces
+is searched as one lattice a text.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ N_BEST = 4
 SPACE = "▁"
 VOCABULARY = "piece_bpe_32k.model"
 PENALTY = 10.0  # of a character that has no piece, below the least score of one
+TOGETHER = 48  # characters of a word that is searched along with others
 CACHED_WORDS = 300_000  # of the newer half of a worker's table
 
 
@@ -41,19 +43,21 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class _Words(dict):
-    """Numbers of words met so far. The older half of the table goes when it is full; words met again stay."""
+def _points(words: list[str], size: int) -> np.ndarray:
+    """Code points of words of one length."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), size).astype(np.uint64)
 
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.of, self.older = vocabulary, {}
 
-    def __missing__(self, word: str) -> int:
-        number = self.older.get(word)
-        if number is None:
-            number = self.of._search(word)
-        self[word] = number
-        return number
+def _step(key: np.ndarray, points: np.ndarray) -> np.ndarray:
+    key = (key ^ (points + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+    return key ^ (key >> np.uint64(29))
+
+
+def _hashes(points: np.ndarray) -> np.ndarray:
+    key = np.zeros(len(points), np.uint64)
+    for column in points.T:
+        key = _step(key, column)
+    return key
 
 
 class Vocabulary:
@@ -71,15 +75,34 @@ class Vocabulary:
         # Scores far below all others mark pieces that are there for the user's sake only.
         self.fallback = min((s for _, s in self.known.values() if s > -1e8), default=0.0) - PENALTY
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.known)
-        # Neighbours that no piece holds: the lattice falls apart between them.
-        self.beside = {p[k : k + 2] for p in self.known for k in range(len(p) - 1)}
-        self._cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        # Nor does a piece hold a line break, as a rule.
+        line = "" if any("\n" in p for p in self.known) else "\n"
+        self._cut = re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+|\n+")
+        self._make_index()
         self._choices = lru_cache(20_000)(self.n_best)
         self._start_table()
 
     def _start_table(self) -> None:
-        self.words, self.size = _Words(self), 0
-        self.score, self.loss, self.ids = np.zeros(1024), np.zeros(1024), []
+        self.words: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.size, self.score, self.loss, self.ids = 0, np.zeros(1024), np.zeros(1024), []
+
+    def _make_index(self) -> None:
+        """Pieces by hash, with a first filter that most other strings fail."""
+        by_size: dict[int, list[str]] = {}
+        for piece in self.known:
+            by_size.setdefault(len(piece), []).append(piece)
+        self.longest = max(by_size, default=0)
+        keys, numbers, scores = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for size, pieces in by_size.items():
+            keys.append(_hashes(_points(pieces, size)))
+            numbers.append(np.array([self.known[p][0] for p in pieces]))
+            scores.append(np.array([self.known[p][1] for p in pieces]))
+        keys, numbers, scores = (np.concatenate(x) for x in (keys, numbers, scores))
+        order = np.argsort(keys)
+        self.keys, self.numbers, self.scores = keys[order], numbers[order], scores[order]
+        self.filter = np.zeros(1 << 21, bool)
+        self.filter[self.keys >> np.uint64(43)] = True
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -141,44 +164,128 @@ class Vocabulary:
                 heapq.heappush(heap, (-(best[i] + total), i, count, total, (ids, path)))
         return out
 
-    def _search(self, word: str) -> int:
-        """A new number for a word, whose best segmentation and the cost of its second are put in the table."""
-        cuts = [0, *[k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.beside], len(word)]
-        score, loss, ids = 0.0, float("inf"), []
-        for a, b in zip(cuts, cuts[1:]):
-            found = self.n_best(word[a:b], 2)
-            score += found[0][0]
-            ids += found[0][1]
-            if len(found) > 1:
-                loss = min(loss, found[0][0] - found[1][0])
+    def _edges_of(self, points: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """(scores, ids) by begin and end for words of one length, -inf where there is no piece."""
+        edges = {}
+        rows, size = points.shape
+        for i in range(size):
+            key = np.zeros(rows, np.uint64)
+            for j in range(i + 1, min(size, i + self.longest) + 1):
+                key = _step(key, points[:, j - 1])
+                maybe = np.flatnonzero(self.filter[key >> np.uint64(43)])
+                at = np.minimum(np.searchsorted(self.keys, key[maybe]), len(self.keys) - 1)
+                sure = self.keys[at] == key[maybe]
+                if sure.any() or j == i + 1:
+                    scores, ids = np.full(rows, -np.inf), np.zeros(rows, np.uint32)
+                    scores[maybe[sure]], ids[maybe[sure]] = self.scores[at[sure]], self.numbers[at[sure]]
+                    edges[i, j] = scores, ids
+        return edges
+
+    def _search_equal(self, words: list[str]) -> None:
+        """Best segmentations and the cost of the second for words of one length, by passes forward and backward over all of them.
+
+        A second segmentation has a piece that the best one hasn't, so the best
+        score through any such piece is that of the second.
+        """
+        size, rows = len(words[0]), len(words)
+        edges = self._edges_of(_points(words, size))
+        ahead, back = np.full((size + 1, rows), -np.inf), np.full((size + 1, rows), -np.inf)
+        ahead[0], back[size], came = 0, 0, np.zeros((size + 1, rows), np.int64)
+        for j in range(1, size + 1):
+            for i in range(max(0, j - self.longest), j):
+                if (i, j) in edges:
+                    total = ahead[i] + edges[i, j][0]
+                    better = total > ahead[j]
+                    ahead[j][better], came[j][better] = total[better], i
+        for i in range(size - 1, -1, -1):
+            for j in range(i + 1, min(size, i + self.longest) + 1):
+                if (i, j) in edges:
+                    np.maximum(back[i], edges[i, j][0] + back[j], out=back[i])
+        every = np.arange(rows)
+        best, taken, ids = np.zeros((size + 1, rows), bool), np.zeros((size, rows), bool), np.zeros((size, rows), np.uint32)
+        # Words with a character that has no piece are left to the search alone.
+        best[size] = whole = np.isfinite(ahead[size])
+        for j in range(size, 0, -1):
+            here = every[best[j]]
+            begin = came[j][here]
+            best[begin, here] = True
+            taken[j - 1][here] = True
+            for i in np.unique(begin):
+                mine = here[begin == i]
+                ids[j - 1][mine] = edges[i, j][1][mine]
+        second = np.full(rows, -np.inf)
+        for (i, j), (scores, _) in edges.items():
+            total = ahead[i] + scores + back[j]
+            total[best[j] & (came[j] == i)] = -np.inf
+            np.maximum(second, total, out=second)
+        lost = np.full(rows, np.inf)
+        some = np.isfinite(second)
+        lost[some] = np.maximum(ahead[size][some] - second[some], 0)
+        flat, ends = ids.T[taken.T].tobytes(), (4 * np.cumsum(taken.sum(0))).tolist()
+        for k, (a, b) in enumerate(zip([0, *ends], ends)):
+            if whole[k]:
+                self._store(words[k], float(ahead[size][k]), float(lost[k]), flat[a:b])
+            else:
+                self._search(words[k])
+
+    def _search(self, word: str) -> None:
+        """The same for one word of any length and characters."""
+        found = self.n_best(word, 2)
+        self._store(word, found[0][0], found[0][0] - found[1][0] if len(found) > 1 else float("inf"), np.array(found[0][1], np.uint32).tobytes())
+
+    def _store(self, word: str, score: float, loss: float, ids: bytes) -> None:
         number = self.size
         if number == len(self.score):
             self.score, self.loss = (np.concatenate([x, np.zeros(number)]) for x in (self.score, self.loss))
         self.score[number], self.loss[number] = score, loss
-        self.ids.append(np.array(ids, np.uint32).tobytes())
+        self.ids.append(ids)
+        self.words[word] = number
         self.size += 1
-        return number
 
     def _make_room(self) -> None:
-        """Keep the words of the newer half, under new numbers."""
+        """When the newer half is full, the older goes."""
         if len(self.words) < CACHED_WORDS:
             return
-        newer = dict(self.words)
+        newer = self.words
         old_score, old_loss, old_ids = self.score, self.loss, self.ids
         self._start_table()
         numbers = np.fromiter(newer.values(), np.int64, len(newer))
         self.size, self.ids = len(newer), [old_ids[k] for k in numbers.tolist()]
         room = np.zeros(max(1024, len(newer)))
         self.score, self.loss = (np.concatenate([x[numbers], room]) for x in (old_score, old_loss))
-        self.words.older = dict(zip(newer, range(len(newer))))
+        self.older = dict(zip(newer, range(len(newer))))
 
-    def segmentations(self, text: str, n: int = N_BEST) -> list[tuple[float, np.ndarray]]:
-        """Up to n segmentations of a text, best first."""
+    def cut(self, text: str) -> list[str]:
+        """The words of a text whose lattices make up its own; the whole text where pieces may cross words."""
         normal = self.normal(text)
-        if not self.by_word:
-            return [(s, np.array(ids, np.uint32)) for s, ids in self.n_best(normal, n)]
-        words = self._cut.findall(normal)
+        return self._cut.findall(normal) if self.by_word else [normal] if normal else []
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Put the words of some texts into the table: those of one length together."""
         self._make_room()
+        seen: set[str] = set()
+        for words in texts:
+            seen.update(words)
+        by_size: dict[int, list[str]] = {}
+        for word in seen.difference(self.words):
+            if (number := self.older.get(word)) is not None:
+                self.words[word] = number
+            elif len(word) <= TOGETHER:
+                by_size.setdefault(len(word), []).append(word)
+            else:
+                self._search(word)
+        for words in by_size.values():
+            for at in range(0, len(words), 4096):
+                self._search_equal(words[at : at + 4096])
+
+    def segmentations(self, text: str, n: int = N_BEST) -> list[tuple[float, np.ndarray]]:
+        """Up to n segmentations of a text, best first."""
+        words = self.cut(text)
+        self.learn([words])
+        return self.combined(words, n)
+
+    def combined(self, words: list[str], n: int) -> list[tuple[float, np.ndarray]]:
+        """Up to n segmentations of a text given as words that are in the table."""
         numbers = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         parts = list(map(self.ids.__getitem__, numbers.tolist()))
         # A word beyond the n-1 cheapest to change is not changed in any of the n best.
@@ -186,17 +293,15 @@ class Vocabulary:
         places = np.sort(np.argpartition(loss, n - 2)[: n - 1]) if 1 < n <= len(words) else np.arange(len(words) if n > 1 else 0)
         top = float(self.score[numbers].sum())
         choices: list[tuple[float, tuple[tuple[int, tuple[int, ...]], ...]]] = [(0.0, ())]
-        for place in (int(p) for p in places):
+        for place in places.tolist():
             others = self._choices(words[place], n)
-            made = [(lost + others[0][0] - score, changed + (((place, ids),) if rank else ())) for lost, changed in choices for rank, (score, ids) in enumerate(others)]
+            made = [(lost + others[0][0] - score, (*changed, (place, ids))) for lost, changed in choices for score, ids in others]
             choices = heapq.nsmallest(n, made, key=lambda x: x[0])
         out = []
         for lost, changed in choices:
-            whole = parts
-            if changed:
-                whole = parts.copy()
-                for place, ids in changed:
-                    whole[place] = np.array(ids, np.uint32).tobytes()
+            whole = parts.copy()
+            for place, ids in changed:
+                whole[place] = np.array(ids, np.uint32).tobytes()
             out.append((top - lost, np.frombuffer(b"".join(whole), np.uint32)))
         return out
 
@@ -238,9 +343,11 @@ def encoded(docs: DataFrame, n: int = N_BEST, path: str | None = None, with_ids:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = []
-                for doc, value in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500]):
-                    text = value.as_py() or ""
-                    found = pieces.segmentations(text, n)
+                texts = [t or "" for t in batch.column(1)[at : at + 500].to_pylist()]
+                words = [pieces.cut(t) for t in texts]
+                pieces.learn(words)
+                for doc, text, mine in zip(batch.column(0)[at : at + 500].to_pylist(), texts, words):
+                    found = pieces.combined(mine, n)
                     back = pieces.decode(found[0][1])
                     crcs = [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in found]
                     rows.append((doc, len(found[0][1]), found[0][0], [s for s, _ in found], crcs, zlib.crc32(back.encode()), back == text, [ids.tolist() for _, ids in found] if with_ids else None))

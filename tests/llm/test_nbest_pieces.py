@@ -85,9 +85,21 @@ def test_decoding_table_and_empty_table(rows):
     assert nb.decoded(rows([(3, None)], "doc_id long, ids array<int>")).first().text is None
 
 
-def test_cache_starts_anew(monkeypatch):
+def test_words_together_and_alone():
+    v, alone = nb.Vocabulary.load(nb.vocabulary_path()), nb.vocabulary(nb.vocabulary_path())
+    rng = np.random.default_rng(1)
+    words = ["▁" * int(rng.integers(0, 3)) + "".join(rng.choice(list("thernoaiséß.,!&9中\u4e9c"), int(rng.integers(1, 14)))) for _ in range(3000)]
+    v.learn([words])
+    for word in words:
+        number, found = v.words[word], alone.n_best(word, 2)
+        assert v.score[number] == found[0][0]
+        assert v.loss[number] == (found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
+        assert v.decode(np.frombuffer(v.ids[number], np.uint32)) == word.replace("▁", " ").removeprefix(" ")
+
+
+def test_table_stays_small(monkeypatch):
     monkeypatch.setattr(nb, "CACHED_WORDS", 3)
     v, fresh = nb.Vocabulary.load(nb.vocabulary_path()), nb.vocabulary(nb.vocabulary_path())
-    for text in ("one two three four five", "one six", "two one"):
+    for text in ("one two three four five", "one six", "two one", "seven one eight nine"):
         assert [s for s, _ in v.segmentations(text)] == [s for s, _ in fresh.segmentations(text)]
-    assert len(v.words) <= 8 and v.size <= 16
+        assert len(v.words) <= 8 and v.size <= 16
