@@ -4,10 +4,10 @@ Equal vectors are one row with a weight before anything is searched. The rest
 are dealt to shards of bounded size; each shard gets a hierarchical graph
 (Malkov and Yashunin) that is built in batches: a batch searches the graph so
 far, compares its own members, and links up with neighbours chosen for
-diversity. Then every vector queries every shard, in blocks. A beam that ends
-inside the radius is doubled until it doesn't, and the whole block is searched
-again with wider beams until audited queries, compared with all of the shard,
-find the links they should. Links are verified by cosine in double precision,
+diversity. Then every vector queries every shard, in blocks, with a beam that
+is widened until audited queries, compared with all of the shard, find the
+links they should; beams that end inside the radius are widened together until
+they don't. Links are verified by cosine in double precision,
 counted where they are found, and sent on as a forest of each block, so a
 dense group costs one link a member and not its pairs.
 
@@ -34,7 +34,7 @@ from tabmill.llm.shared import for_workers, staged
 
 RADIUS = 0.95
 SHARD_ROWS = 50_000
-SHARD_BYTES = 64 << 20  # of float32 vectors
+SHARD_BYTES = 32 << 20  # of float32 vectors
 LEAST_SHARDS = 8  # for tasks to share
 BLOCK_ROWS = 16_384  # queries of one task against one shard
 LINKS = 16  # of a node in the upper layers; twice as many at the bottom
@@ -44,13 +44,15 @@ AUDIT_EVERY = 16  # of the queries, by a hash of the node
 RECALL = 0.995  # that audited queries must reach
 _STEP = 256  # queries moved together
 _EXPAND = 4  # nodes that each of them visits at a time
+_PAIRS = 1 << 18  # pairs verified at a time
 
 
 @dataclass
 class Graph:
-    """unit: rows of length one. layers: neighbours of each node by layer, bottom first, -1 for none. entry: where searches start."""
+    """unit: rows of length one, and exact: in double precision. layers: neighbours of each node by layer, bottom first, -1 for none. entry: where searches start."""
 
     unit: np.ndarray
+    exact: np.ndarray
     layers: list[np.ndarray]
     entry: int
 
@@ -168,11 +170,11 @@ def _link(graph: Graph, layer: int, nodes: np.ndarray, ids: np.ndarray, sims: np
             near[part[full]] = _diverse(unit, both[full], known[full], most)
 
 
-def build(unit: np.ndarray, nodes: np.ndarray) -> Graph:
-    """The graph of a shard: rows of length one and their numbers."""
-    n, level = len(unit), levels(nodes)
+def build(exact: np.ndarray, nodes: np.ndarray) -> Graph:
+    """The graph of a shard: rows of length one in double precision and their numbers."""
+    unit, n, level = exact.astype(np.float32), len(exact), levels(nodes)
     top = int(level.max(initial=0))
-    graph = Graph(unit, [np.full((n, 2 * LINKS if k == 0 else LINKS), -1, np.int64) for k in range(top + 1)], int(np.argmax(level)))
+    graph = Graph(unit, exact, [np.full((n, 2 * LINKS if k == 0 else LINKS), -1, np.int64) for k in range(top + 1)], int(np.argmax(level)))
     # The entry comes first, so that every layer has a node when others are linked to it.
     order = np.concatenate([[graph.entry], np.delete(np.arange(n), graph.entry)])
     at = 1
@@ -197,35 +199,54 @@ def build(unit: np.ndarray, nodes: np.ndarray) -> Graph:
     return graph
 
 
-def links_within(graph: Graph, queries: np.ndarray, beam: int, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs of similarity from `radius`; beams that end inside it are doubled until they don't."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+def links_within(graph: Graph, queries: np.ndarray, beam: int, radius: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, node) pairs of cosine from `radius`, in parts. Queries are rows of length one in double precision.
+
+    Queries whose beam ends inside the radius are widened together: all nodes
+    that any of them found, and then the neighbours of those inside any one's
+    radius, are compared with all of them, until no new node is inside.
+    """
+    single, near = queries.astype(np.float32), radius - 1e-4
+    wide, nodes = [], np.zeros(len(graph.unit), bool)
     for at in range(0, len(queries), _STEP):
-        rows, width = np.arange(at, min(at + _STEP, len(queries))), min(beam, len(graph.unit))
-        while len(rows):
-            ids, sims = nearest(graph, queries[rows], width)
-            full = (sims[:, -1] >= radius) & (ids.shape[1] < len(graph.unit))
-            r, k = np.nonzero((sims >= radius) & (ids >= 0) & ~full[:, None])
-            found.append((rows[r], ids[r, k]))
-            rows, width = rows[full], min(2 * width, len(graph.unit))
-    return np.concatenate([a for a, _ in found] or [np.zeros(0, int)]), np.concatenate([b for _, b in found] or [np.zeros(0, int)])
-
-
-def audited(graph: Graph, queries: np.ndarray, audit: np.ndarray, radius: float, beam: int = BEAM, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray, int]:
-    """links_within with a beam that the audited queries need, which is returned as well."""
-    due = 0
-    for at in range(0, len(audit), _STEP):
-        due += int((queries[audit[at : at + _STEP]] @ graph.unit.T >= radius).sum())
-    while True:
-        got = links_within(graph, queries[audit], beam, radius)
-        if len(got[0]) >= recall * due or beam >= len(graph.unit):
-            return *links_within(graph, queries, beam, radius), beam
+        ids, sims = nearest(graph, single[at : at + _STEP], min(beam, len(graph.unit)))
+        full = (sims[:, -1] >= near) & (ids.shape[1] < len(graph.unit))
+        wide.append(at + np.flatnonzero(full))
+        nodes[ids[full]] = True
+        q, k = np.nonzero((sims >= near) & (ids >= 0) & ~full[:, None])
+        q, k = q + at, ids[q, k]
+        for part in range(0, len(q), _PAIRS):
+            a, b = q[part : part + _PAIRS], k[part : part + _PAIRS]
+            sure = np.einsum("kd,kd->k", queries[a], graph.exact[b]) >= radius
+            yield a[sure], b[sure]
+    rows, new = np.concatenate(wide or [np.zeros(0, np.int64)]), np.flatnonzero(nodes)
+    while len(rows) and len(new):
+        beside = np.unique(graph.layers[0][new])
+        beside = beside[(beside >= 0)]
+        beside = beside[~nodes[beside]]
+        inside = np.zeros(len(beside), bool)
+        for at in range(0, len(rows), _STEP):
+            inside |= (single[rows[at : at + _STEP]] @ graph.unit[beside].T >= near).any(0)
+        new = beside[inside]
+        nodes[new] = True
+    some = np.flatnonzero(nodes)
+    step = max(1, _PAIRS // max(1, len(some)))
+    for at in range(0, len(rows) if len(some) else 0, step):
+        q, k = np.nonzero(queries[rows[at : at + step]] @ graph.exact[some].T >= radius)
+        yield rows[at + q], some[k]
+
+
+def beam_for(graph: Graph, queries: np.ndarray, radius: float, beam: int = BEAM, recall: float = RECALL) -> int:
+    """The beam, doubled from `beam` on, with which the audited queries find the links they have by brute force."""
+    due = sum(int((queries[at : at + _STEP] @ graph.exact.T >= radius).sum()) for at in range(0, len(queries), _STEP))
+    while beam < len(graph.unit) and sum(len(q) for q, _ in links_within(graph, queries, beam, radius)) < recall * due:
         beam *= 2
+    return beam
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
     wide = vectors.astype(np.float64)
-    return (wide / np.linalg.norm(wide, axis=1, keepdims=True)).astype(np.float32)
+    return wide / np.linalg.norm(wide, axis=1, keepdims=True)
 
 
 def _matrix(column: pd.Series, dim: int) -> np.ndarray:
@@ -256,39 +277,37 @@ def _build_shard(part: pd.DataFrame) -> pd.DataFrame:
     part = part.sort_values("node")
     dim, nodes = int(part["dim"].iloc[0]), part["node"].to_numpy()
     vectors = _matrix(part["vec"], dim)
-    graph, out = build(_unit(vectors), nodes), io.BytesIO()
+    graph, out = build(unit_rows(vectors), nodes), io.BytesIO()
     np.savez(out, vectors=vectors, nodes=nodes, weights=part["weight"].to_numpy(), entry=np.array([graph.entry]), **{f"layer{i}": x.astype(np.int32) for i, x in enumerate(graph.layers)})
     return pd.DataFrame({"dim": [dim], "shard": [int(part["shard"].iloc[0])], "graph": [out.getvalue()]})
 
 
-def _load(blob: bytes) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
+def _load(blob: bytes) -> tuple[Graph, np.ndarray, np.ndarray]:
     data = np.load(io.BytesIO(blob))
     layers = [data[f"layer{i}"].astype(np.int64) for i in range(sum(name.startswith("layer") for name in data.files))]
-    return Graph(_unit(data["vectors"]), layers, int(data["entry"][0])), data["vectors"], data["nodes"], data["weights"]
+    exact = unit_rows(data["vectors"])
+    return Graph(exact.astype(np.float32), exact, layers, int(data["entry"][0])), data["nodes"], data["weights"]
 
 
 def _query_shard(radius: float):
     def run(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(graphs) or not len(queries):
             return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
-        graph, vectors, nodes, weights = _load(graphs["graph"].iloc[0])
-        mine, asked = queries["node"].to_numpy(), _matrix(queries["vec"], vectors.shape[1])
-        audit = np.flatnonzero(np.array([xxhash.xxh32_intdigest(int(x).to_bytes(8, "little")) % AUDIT_EVERY == 0 for x in mine]))
-        q, k, _ = audited(graph, _unit(asked), audit, radius - 1e-4)
-        keep = np.zeros(len(q), bool)
-        for at in range(0, len(q), 1 << 15):
-            a, b = asked[q[at : at + (1 << 15)]].astype(np.float64), vectors[k[at : at + (1 << 15)]].astype(np.float64)
-            cosine = np.einsum("kd,kd->k", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
-            keep[at : at + (1 << 15)] = cosine >= radius
-        keep &= mine[q] != nodes[k]
-        q, k = q[keep], k[keep]
+        graph, nodes, weights = _load(graphs["graph"].iloc[0])
+        mine, asked = queries["node"].to_numpy(), unit_rows(_matrix(queries["vec"], graph.unit.shape[1]))
+        audit = [xxhash.xxh32_intdigest(int(x).to_bytes(8, "little")) % AUDIT_EVERY == 0 for x in mine]
+        beam = beam_for(graph, asked[np.array(audit)], radius)
         every, place = np.unique(np.concatenate([mine, nodes]), return_inverse=True)
-        forest = Forest(len(every))
-        forest.add(place[: len(mine)][q], place[len(mine) :][k])
+        of_query, of_node = place[: len(mine)], place[len(mine) :]
+        forest, counted = Forest(len(every)), np.zeros(len(mine))
+        for q, k in links_within(graph, asked, beam, radius):
+            other = mine[q] != nodes[k]
+            q, k = q[other], k[other]
+            forest.add(of_query[q], of_node[k])
+            counted += np.bincount(q, weights[k], len(mine))
         a, b = forest.links()
-        counted = np.bincount(q, weights[k], len(mine)).astype(np.int64)
         some = np.flatnonzero(counted)
-        return pd.DataFrame({"a": np.concatenate([mine[some], every[a]]), "b": np.concatenate([np.full(len(some), -1), every[b]]), "n": np.concatenate([counted[some], np.zeros(len(a), np.int64)])})
+        return pd.DataFrame({"a": np.concatenate([mine[some], every[a]]), "b": np.concatenate([np.full(len(some), -1), every[b]]), "n": np.concatenate([counted[some].astype(np.int64), np.zeros(len(a), np.int64)])})
 
     return run
 

@@ -36,10 +36,12 @@ def slow(items, radius=0.95):
 @pytest.mark.parametrize(("groups", "spread"), [((2,) * 40, 0.05), ((300, 120, 5), 0.05), ((400,), 0.2)])
 def test_search_finds_all_links(groups, spread):
     rng = np.random.default_rng(len(groups))
-    unit = h._unit(vectors(rng, groups, spread, 900))
+    unit = h.unit_rows(vectors(rng, groups, spread, 900))
     graph = h.build(unit, np.arange(len(unit)))
     assert len(graph.layers) > 1 and (graph.layers[0] >= 0).any(1).all()
-    q, k, _ = h.audited(graph, unit, np.arange(0, len(unit), 5), 0.95)
+    beam = h.beam_for(graph, unit[::5], 0.95)
+    parts = list(h.links_within(graph, unit, beam, 0.95))
+    q, k = (np.concatenate([x[i] for x in parts]) for i in (0, 1))
     want = unit @ unit.T >= 0.95
     got = np.zeros_like(want)
     got[q, k] = True
@@ -48,8 +50,8 @@ def test_search_finds_all_links(groups, spread):
 
 def test_top_neighbours_of_unclustered_vectors():
     rng = np.random.default_rng(8)
-    unit = h._unit(rng.normal(0, 1, (2000, 16)).astype(np.float32))
-    ids, sims = h.nearest(h.build(unit, np.arange(2000)), unit[:200], 64)
+    unit = h.unit_rows(rng.normal(0, 1, (2000, 16)).astype(np.float32))
+    ids, sims = h.nearest(h.build(unit, np.arange(2000)), unit[:200].astype(np.float32), 64)
     exact = np.argsort(-(unit[:200] @ unit.T), axis=1)[:, :10]
     assert np.mean([len(set(a[:10]) & set(b)) / 10 for a, b in zip(ids.tolist(), exact.tolist())]) > 0.95
     assert (np.diff(sims, axis=1) <= 0).all()
