@@ -45,9 +45,9 @@ TOKENIZER = "word_bpe_49k.json"
 # How the vocabulary file normalises and splits texts; the short way below holds for this only.
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The same for ASCII and the letters of Latin-1, which are in normal form and lower-cased one by one.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+# The same for texts of ASCII and the letters of Latin-1, which are in normal form and lower-cased one by one.
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+_PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -60,10 +60,11 @@ def _byte_letters() -> dict[int, int]:
 class WordIds:
     """Ids of texts by a tokenizer that never joins characters across white space.
 
-    A text is cut at ASCII white space, which this tokenizer drops; each
-    different run is given to the tokenizer once, and a plain run as parts that
-    are met once, without the steps that change nothing in it. Both tables are
-    of bounded size: when the newer half of the words is full, the older goes.
+    A plain text is split into parts as the tokenizer would, and each different
+    part is given to it once, without the steps that change nothing in it. Any
+    other text is cut at ASCII white space, which the tokenizer drops, and each
+    different run is given to it once. The tables are of bounded size: when the
+    newer half of the parts is full, the older goes.
     """
 
     def __init__(self, path: str):
@@ -78,49 +79,52 @@ class WordIds:
             self.bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None}))
         self.special = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"]) or r"(?!)", re.I)
         self.letters = _byte_letters()
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
-    def _add_parts(self, parts: set[str]) -> None:
-        new = list(parts.difference(self.parts))
-        if len(self.parts) + len(new) > CACHED_WORDS:
-            self.parts, new = {}, list(parts)
-        written = [p.encode().decode("latin-1").translate(self.letters) for p in new]
+    def _add_parts(self, parts: list[str]) -> None:
+        written = [p.encode().decode("latin-1").translate(self.letters) for p in parts]
         found = self.bare.encode(written, is_pretokenized=True, add_special_tokens=False)
-        ids, of = np.array(found.ids, np.uint32), np.array(found.word_ids, np.int64)
-        ends = np.searchsorted(of, np.arange(len(new)), side="right").tolist()
-        for part, a, b in zip(new, [0, *ends], ends):
-            self.parts[part] = ids[a:b].tobytes()
-
-    def _add(self, words: list[bytes]) -> None:
-        split, rest = {}, []
-        for word in words:
-            text = word.decode()
-            if self.bare and _PLAIN.fullmatch(text) and not self.special.search(text):
-                split[word] = _PLAIN_SPLIT.findall(text.lower())
-            else:
-                rest.append(word)
-        if split:
-            self._add_parts({p for parts in split.values() for p in parts})
-            for word, parts in split.items():
-                self.known[word] = b"".join(map(self.parts.__getitem__, parts))
-        for word, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
-            self.known[word] = np.array(e.ids, np.uint32).tobytes()
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        words = [t.encode().split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {}, self.known
+        ids, of = np.array(found.ids, np.uint32).tobytes(), np.array(found.word_ids, np.int64)
+        ends = (4 * np.searchsorted(of, np.arange(len(parts)), side="right")).tolist()
+        for part, a, b in zip(parts, [0, *ends], ends):
+            self.parts[part] = ids[a:b]
+
+    def _plain(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts given as parts."""
+        seen: set[str] = set()
+        for parts in texts:
+            seen.update(parts)
+        if len(self.parts) > CACHED_WORDS:
+            self.parts, self.older = {}, self.parts
         new = []
-        for word in {w for ws in words for w in ws}.difference(self.known):
-            if (ids := self.older.get(word)) is None:
-                new.append(word)
+        for part in seen.difference(self.parts):
+            if (ids := self.older.get(part)) is None:
+                new.append(part)
             else:
-                self.known[word] = ids
+                self.parts[part] = ids
         for at in range(0, len(new), 20_000):
-            self._add(new[at : at + 20_000])
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), np.uint32) for ws in words]
+            self._add_parts(new[at : at + 20_000])
+        return [b"".join(map(self.parts.__getitem__, parts)) for parts in texts]
+
+    def _any(self, texts: list[list[bytes]]) -> list[bytes]:
+        """Ids of texts given as runs between white space."""
+        seen = {word for words in texts for word in words}
+        if len(self.words) + len(seen) > CACHED_WORDS:
+            self.words = {}
+        new = list(seen.difference(self.words))
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            for word, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
+                self.words[word] = np.array(e.ids, np.uint32).tobytes()
+        return [b"".join(map(self.words.__getitem__, words)) for words in texts]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [bool(self.bare and _PLAIN.fullmatch(t) and not ("<" in t and self.special.search(t))) for t in texts]
+        short = iter(self._plain([_PLAIN_SPLIT.findall(t.lower()) for t, p in zip(texts, plain) if p]))
+        other = iter(self._any([t.encode().split() for t, p in zip(texts, plain) if not p]))
+        return [np.frombuffer(next(short if p else other), np.uint32) for p in plain]
 
 
 @lru_cache(maxsize=2)

@@ -119,6 +119,6 @@ def test_ids_of_any_text(texts):
 def test_tables_stay_small(monkeypatch):
     monkeypatch.setattr(p, "CACHED_WORDS", 5)
     ids, tokenizer = p.WordIds(p.tokenizer_path()), Tokenizer.from_file(p.tokenizer_path())
-    for text in ("a b c d", "d e f g", "one two three four five six seven", "a", "a b", "g h", "one seven"):
+    for text in ("a b c d", "d e f g", "one two three four five six seven", "a", "a b", "g h", "one seven", "中 b", "一 二 三 四 五 六 c"):
         assert ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-        assert max(len(ids.known), len(ids.older), len(ids.parts)) <= 12
+        assert max(len(ids.words), len(ids.older), len(ids.parts)) <= 14
