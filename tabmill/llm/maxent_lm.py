@@ -38,8 +38,9 @@ CLASSES = 64  # the last one is that of the end token
 CONTEXTS = 64  # hashed neighbours that buckets are clustered by, on each side
 ROUNDS = 2  # each over its own part of the training documents
 RATE = 0.1
-BATCH = 1024
+BATCH = 2048
 TASK_TOKENS = 4_000_000  # that one task trains on between two exchanges of weights
+LEAST_TOKENS = 250_000  # the same where there are fewer such tasks than cores
 FREQUENT = 1 << 18  # words whose counts go to every task
 FREQUENT_BYTES = 48  # longer words don't
 FLUSH_WORDS = 300_000  # different words a task holds before it sends their counts on
@@ -235,7 +236,7 @@ def _train_round(parts: DataFrame, weights: np.ndarray, classes: np.ndarray) ->
                 rows.append(feature_rows(b))
                 labels.append(class_of[b])
                 size += len(b)
-                if size >= 32 * BATCH:
+                if size >= 16 * BATCH:
                     learn()
                     size = 0
         if rows:
@@ -281,9 +282,9 @@ class Model:
         """Sum over a document's tokens of log10(P(class | history) / smoothed tokens of the class)."""
         total = 0.0
         rows, classes = feature_rows(buckets), self.classes[buckets]
-        for at in range(0, len(buckets), 8 * BATCH):
-            c = classes[at : at + 8 * BATCH]
-            logs = class_log_probabilities(self.weights, rows[at : at + 8 * BATCH])[np.arange(len(c)), c]
+        for at in range(0, len(buckets), 4 * BATCH):
+            c = classes[at : at + 4 * BATCH]
+            logs = class_log_probabilities(self.weights, rows[at : at + 4 * BATCH])[np.arange(len(c)), c]
             total += float(logs.sum(dtype=np.float64)) / np.log(10) - float(self.share[c].sum())
         return total
 
@@ -326,9 +327,10 @@ def fit(docs: DataFrame) -> Fitted:
     weights = np.zeros((ROWS, CLASSES), np.float32)
     weights[0] = np.log(in_class + 1) - np.log(in_class + 1).max()
     documents = gathered.where("kind = 0").select("row", "doc_id", "held_out", "buckets")
+    spread = max(1, min(docs.sparkSession.sparkContext.defaultParallelism, -(-tokens // (ROUNDS * LEAST_TOKENS))))
     for k in range(ROUNDS):
         mine = documents.where(~F.col("held_out") & (F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == k))
-        weights = _train_round(mine.coalesce(max(1, -(-tokens // (ROUNDS * TASK_TOKENS)))), weights, classes)
+        weights = _train_round(mine.coalesce(max(-(-tokens // (ROUNDS * TASK_TOKENS)), spread)), weights, classes)
     return Fitted(Model(classes, weights, share), counts, tokens, types, documents)
 
 
