@@ -5,8 +5,10 @@ and rounded to a fixed grid. For each pool of documents (language and source;
 small ones are pooled by language, then all together) the minimum covariance
 determinant estimate is found by concentration steps: start from medians and
 absolute deviations, then take again and again mean and covariance of the
-three quarters of the pool that lie nearest. Documents whose Mahalanobis
-distance to it is beyond the cutoff are rejected.
+half of the pool that lies nearest. Half is what withstands most: with a larger
+share, a group of alike bad documents that is larger than the rest of the pool
+enters the estimate and has a small distance itself. Documents whose
+Mahalanobis distance to it is beyond the cutoff are rejected.
 
 All of it is DataFrame expressions. A step is one pass over the staged
 vectors that sums by (pool, distance bin), with partial sums on the map side,
@@ -23,11 +25,11 @@ from tabmill.llm.shared import SPACE, staged, text_of
 
 MIN_POOL = 400  # rows; smaller groups are pooled
 LEAST_ROWS = 30  # of the last pool; below it only the base rules speak
-KEPT_SHARE = 0.75  # of a pool, nearest rows that the estimate rests on
+KEPT_SHARE = 0.5  # of a pool, nearest rows that the estimate rests on
 STEPS = 8  # concentration steps at most
 GRID = 256  # steps of a statistic's grid for one unit of its log scale
 FLOOR = 0.12  # least standard deviation of a statistic, on its log scale
-CUTOFF = 60.0  # squared distance; a normal vector of 5 passes it once in 10^11
+CUTOFF = 60.0  # squared distance; the quantile of chi-squared with 5 degrees of freedom that is passed once in 10^11
 BINS = 32  # distance bins for each doubling
 HALF_CHI2 = 4.351  # median of chi-squared with 5 degrees of freedom
 STATISTICS = ("word_length", "symbol_rate", "dup_line_rate", "repeat_rate", "upper_rate")

@@ -93,3 +93,12 @@ def test_empty_table_and_few_rows(rows, docs):
     assert rules.keep_good(rows([], SCHEMA)).collect() == []
     few = rules.keep_good(rows([(*docs[0], "x", 1), (*docs[0], "x", 1), (9, "too short", "en", "a", "x", 1)], SCHEMA)).collect()
     assert [tuple(r) for r in few] == [(*docs[0], "x", 1)] * 2
+
+
+@pytest.mark.parametrize("share", [0.2, 1 / 3, 0.45])
+def test_alike_bad_copies_do_not_pass(rows, docs, share):
+    good, n = docs[:150], round(150 * share / (1 - share))
+    exact = re.sub(r"\w+", lambda m: m[0] + "$$%", docs[0][1])
+    bad = [(1000 + i, exact if i % 2 else f"{exact} tail{i}", "en", "a") for i in range(n)]
+    got = {r.doc_id: r.kept for r in rules.verdicts(rows([(*d, "x", 1) for d in good + bad], SCHEMA)).collect()}
+    assert all(got[d[0]] for d in good) and not any(got[d[0]] for d in bad)
