@@ -12,8 +12,9 @@ noise.
 
 Pass two parses each page again and takes away the branches that are noise in
 its host's tree or that the page itself declares to be (menus, footers,
-adverts, comments and so on). Where a page declares an article or main
-element, the rest of the page is not main text.
+adverts, comments and so on), unless such a branch holds most of the text that
+is the page's own. Where a page declares an article or main element, the rest
+of the page is not main text.
 
 Counts are summed by (host, node, value) with partial sums on the map side, so
 a host with most of the pages is shared by all tasks. Pages are never shuffled
@@ -185,14 +186,25 @@ def parse(source: str) -> Page:
 
 
 def main_blocks(page: Page, noise: frozenset[int] = frozenset()) -> list[str]:
-    """Blocks outside of all noise; where the page has a main element with text, those inside of it only."""
-    out, rest = [], []
-    for block, within in zip(page.blocks, page.within):
+    """Blocks outside of all noise; where the page has a main element with text, those inside of it only.
+
+    A declaration of noise is only a prior: it is void for a branch that holds
+    most of the text that is the page's own, which is that of the main element
+    where there is one.
+    """
+    own = []
+    for at, within in enumerate(page.within):
         nodes = [page.nodes[n] for n in within]
-        if any(n.declared == "noise" or n.key in noise for n in nodes):
-            continue
-        (out if any(n.declared == "main" for n in nodes) else rest).append(block)
-    return out or rest
+        if not any(n.key in noise for n in nodes):
+            own.append((at, within, any(n.declared == "main" for n in nodes), any(n.declared == "noise" for n in nodes)))
+    # A main element inside of declared noise is the page's only if no other has text.
+    scope = [x for x in own if x[2] and not x[3]] or [x for x in own if x[2]] or own
+    held, total = defaultdict(int), 0
+    for at, within, _, _ in scope:
+        total += len(page.blocks[at])
+        for n in within:
+            held[n] += len(page.blocks[at])
+    return [page.blocks[at] for at, within, _, _ in scope if all(page.nodes[n].declared != "noise" or 2 * held[n] > total for n in within)]
 
 
 def _signed(x: int) -> int:
@@ -200,17 +212,11 @@ def _signed(x: int) -> int:
 
 
 def observations(page: Page) -> Iterator[tuple[int, int, int, int]]:
-    """(page, node, presentation, content) hashes, one for each node of the page that no declared noise holds."""
+    """(page, node, presentation, content) hashes, one for each node of the page."""
     digest = lambda parts: xxhash.xxh64_intdigest("\n".join(parts).encode("utf-8", "surrogatepass"))
     whole = digest(main_blocks(page))
     styles, contents = defaultdict(list), defaultdict(list)
-    noisy_until = -1
     for node in page.nodes:
-        if node.first < noisy_until:
-            continue
-        if node.declared == "noise":
-            noisy_until = max(noisy_until, node.last)
-            continue
         styles[node.key].append(",".join(f"{c:x}" for c in node.children))
         contents[node.key].append("\n".join(page.blocks[node.first : node.last]))
     for key, style in styles.items():

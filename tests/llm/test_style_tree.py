@@ -83,3 +83,22 @@ def test_importance_by_plain_counts(rows):
         for at, name in ((1, "presentation"), (2, "content")):
             counts = Counter(v[at] for v in values).values()
             assert got[key][name] == pytest.approx(-sum(c / m * log(c / m) for c in counts) / log(m), abs=1e-9)
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ('<div class="layout has-sidebar"><article><p>one two three</p></article><div class="sidebar">x</div></div>', "one two three"),
+        ('<nav>menu</nav><div id="search-page"><p>one two three</p><div class="ads">buy</div></div>', "one two three"),
+        ('<div class="post-with-comments"><p>one two three</p><section id="comments"><p>me too</section></div>', "one two three"),
+        ('<form><nav>menu</nav><div><p>one two three</p></div></form>', "one two three"),
+        ('<article><p>one</p></article><aside><article><p>a longer teaser</p></article></aside>', "one"),
+    ],
+)
+def test_declared_noise_never_takes_the_article(source, want):
+    assert text_of(source) == want
+
+
+def test_declared_nodes_are_counted():
+    page = s.parse('<nav><p>menu</p></nav><p>text</p>')
+    assert {n.key for n in page.nodes} == {k & (1 << 64) - 1 for _, k, _, _ in s.observations(page)}
