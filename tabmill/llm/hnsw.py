@@ -5,8 +5,8 @@ are dealt to shards of bounded size; each shard gets a hierarchical graph
 (Malkov and Yashunin) that is built in batches: a batch searches the graph so
 far, compares its own members, and links up with neighbours chosen for
 diversity. Then every vector queries every shard, in blocks, with a beam that
-is widened until audited queries, compared with all of the shard, find the
-links they should; beams that end inside the radius are widened together until
+is widened until audited queries, compared with all of the shard, find on
+average the share of their links that they should; beams that end inside the radius are widened together until
 they don't. Links are verified by cosine in double precision,
 counted where they are found, and sent on as a forest of each block, so a
 dense group costs one link a member and not its pairs.
@@ -41,7 +41,7 @@ LINKS = 16  # of a node in the upper layers; twice as many at the bottom
 BUILD_BEAM = 64
 BEAM = 32
 AUDIT_EVERY = 16  # of the queries, by a hash of the node
-RECALL = 0.995  # that audited queries must reach
+RECALL = 0.995  # that audited queries with links must reach on average
 _STEP = 256  # queries moved together
 _EXPAND = 4  # nodes that each of them visits at a time
 _PAIRS = 1 << 18  # pairs verified at a time
@@ -204,8 +204,15 @@ def links_within(graph: Graph, queries: np.ndarray, beam: int, radius: float) ->
 
     Queries whose beam ends inside the radius are widened together: all nodes
     that any of them found, and then the neighbours of those inside any one's
-    radius, are compared with all of them, until no new node is inside.
+    radius, are compared with all of them, until no new node is inside. A beam
+    as wide as the graph compares all.
     """
+    if beam >= len(graph.unit):
+        step = max(1, _PAIRS // max(1, len(graph.unit)))
+        for at in range(0, len(queries), step):
+            q, k = np.nonzero(queries[at : at + step] @ graph.exact.T >= radius)
+            yield at + q, k
+        return
     single, near = queries.astype(np.float32), radius - 1e-4
     wide, nodes = [], np.zeros(len(graph.unit), bool)
     for at in range(0, len(queries), _STEP):
@@ -236,11 +243,25 @@ def links_within(graph: Graph, queries: np.ndarray, beam: int, radius: float) ->
         yield rows[at + q], some[k]
 
 
-def beam_for(graph: Graph, queries: np.ndarray, radius: float, beam: int = BEAM, recall: float = RECALL) -> int:
-    """The beam, doubled from `beam` on, with which the audited queries find the links they have by brute force."""
-    due = sum(int((queries[at : at + _STEP] @ graph.exact.T >= radius).sum()) for at in range(0, len(queries), _STEP))
-    while beam < len(graph.unit) and sum(len(q) for q, _ in links_within(graph, queries, beam, radius)) < recall * due:
-        beam *= 2
+def beam_for(graph: Graph, queries: np.ndarray, radius: float, beam: int = BEAM, recall: float = RECALL, own: np.ndarray | None = None) -> int:
+    """The beam, doubled from `beam` on, with which the audited queries find the links they have by brute force.
+
+    Each query with links counts once, by the share of them that it finds, so a
+    large group doesn't hide small ones. `own` is the row of the graph that is
+    the query itself (-1 for none); it is no link.
+    """
+    own = np.full(len(queries), -1) if own is None else own
+    due = np.concatenate([(queries[at : at + _STEP] @ graph.exact.T >= radius).sum(1) for at in range(0, len(queries), _STEP)] or [np.zeros(0, np.int64)])
+    due = due - ((own >= 0) & (np.einsum("kd,kd->k", queries, graph.exact[own]) >= radius))
+    some = due > 0
+    while beam < len(graph.unit) and some.any():
+        got = np.zeros(len(queries), np.int64)
+        for q, k in links_within(graph, queries, beam, radius):
+            got += np.bincount(q[own[q] != k], minlength=len(queries))
+        if (got[some] / due[some]).mean() >= recall:
+            break
+        # Beams of a good part of the graph cost more than comparing all.
+        beam = 2 * beam if 32 * beam < len(graph.unit) else len(graph.unit)
     return beam
 
 
@@ -295,8 +316,10 @@ def _query_shard(radius: float):
             return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
         graph, nodes, weights = _load(graphs["graph"].iloc[0])
         mine, asked = queries["node"].to_numpy(), unit_rows(_matrix(queries["vec"], graph.unit.shape[1]))
-        audit = [xxhash.xxh32_intdigest(int(x).to_bytes(8, "little")) % AUDIT_EVERY == 0 for x in mine]
-        beam = beam_for(graph, asked[np.array(audit)], radius)
+        audit = np.array([xxhash.xxh32_intdigest(int(x).to_bytes(8, "little")) % AUDIT_EVERY == 0 for x in mine])
+        row = {int(x): k for k, x in enumerate(nodes)}
+        own = np.array([row.get(int(x), -1) for x in mine[audit]], np.int64)
+        beam = beam_for(graph, asked[audit], radius, own=own)
         every, place = np.unique(np.concatenate([mine, nodes]), return_inverse=True)
         of_query, of_node = place[: len(mine)], place[len(mine) :]
         forest, counted = Forest(len(every)), np.zeros(len(mine))

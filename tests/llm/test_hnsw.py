@@ -76,3 +76,25 @@ def test_nothing_to_link(rows):
     assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in got} == {(1, 0, 1, True), (None, 0, None, True)}
     got = h.near_duplicates(rows([(5, [1.0, 2.0], 0, "", 0)], SCHEMA)).collect()
     assert [tuple(r) for r in got] == [(5, 0, 5, True)]
+
+
+def test_a_large_group_does_not_hide_lost_pairs():
+    rng = np.random.default_rng(12)
+    unit = h.unit_rows(vectors(rng, (300, *[2] * 60), 0.04, 200))
+    graph = h.build(unit, np.arange(len(unit)))
+    want = unit @ unit.T >= 0.95
+    np.fill_diagonal(want, False)
+    # Links of the bottom layer to the nodes of pairs are cut, so that narrow beams miss them.
+    pair = (np.arange(len(unit)) >= 300) & (np.arange(len(unit)) < 420)
+    cut = rng.random(graph.layers[0].shape) < 0.9
+    graph.layers[0][(graph.layers[0] >= 0) & pair[graph.layers[0]] & cut] = -1
+    own = np.arange(len(unit))
+
+    def recall(beam):
+        got = np.zeros(len(unit))
+        for q, k in h.links_within(graph, unit, beam, 0.95):
+            got += np.bincount(q[q != k], minlength=len(unit))
+        return (got[want.any(1)] / want.sum(1)[want.any(1)]).mean()
+
+    beam = h.beam_for(graph, unit, 0.95, own=own)
+    assert recall(h.BEAM) < h.RECALL <= recall(beam)
