@@ -1,9 +1,10 @@
 """Secrets in texts: fixed patterns, and literals that reach a sensitive name by assignment.
 
-Lines that hold an assignment mark are lexed into strings, names, bare values
-and marks. Each `name = expression` (also `:`, `:=`, `=>`; an expression is
-strings, bare values and names joined by `+`) becomes a pair of a name and its
-literals. A name on the right stands for the literals last given to it in the
+Texts that hold an assignment mark are lexed into strings, names, bare values,
+brackets and marks. Each `name = expression` (also `:`, `:=`, `=>`; an
+expression is strings, bare values, names, lists and calls joined by `+`, or an
+indented block, and may go on over lines) becomes a pair of a name and its
+literals. A subscript stands for the name inside of it. A name on the right stands for the literals last given to it in the
 same text, so constants are propagated. A literal is scored by how sensitive
 the names are that it reaches and by how much it looks like a key.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +40,10 @@ SENSITIVE = {
     "credential": 0.9, "credentials": 0.9, "bearer": 0.9, "privatekey": 1.0, "secretkey": 1.0, "accesskey": 1.0,
     "signingkey": 0.9, "encryptionkey": 0.9, "authkey": 0.9, "authorization": 0.8, "auth": 0.7, "pass": 0.7, "signature": 0.5,
 }
-_PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|your[-_ ]|x{4,}|\*{3,}|^<.*>$|^\$\{.*\}$|^\{\{.*\}\}$|^(.)\1*$")
+#: Whole values that are made of such words only.
+_PLACEHOLDER = re.compile(
+    r"(?i)(?:(?:change.?me|example|placeholder|please|your|here|my|the|insert|replace|enter|password|passwd|secret|token|api|key|value|test|dummy|sample|todo|x{3,}|\*{3,})[-_. ]*[0-9]{0,3}[-_. ]*)+"
+    r"|<.*>|\$\{.*\}|\{\{.*\}\}|(.)\1*", re.S)
 _LEX = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
     r"|(?P<word>[A-Za-z0-9_$][A-Za-z0-9_$+/.=-]*)"
@@ -46,6 +51,7 @@ _LEX = re.compile(
     r"|(?P<other>[^\x20\t])", re.A)
 _NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z0-9_$]+)*", re.A)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+", re.A)
+_BLANKS = re.compile(r"[\x20\t]*")
 _SCHEMES = {"bearer", "basic", "token"}
 
 
@@ -69,9 +75,15 @@ def name_score(name: str) -> float:
     return best
 
 
-def literal_score(value: str) -> float:
-    """0 to 1: short values and placeholders score 0, varied ones with several kinds of characters 1."""
-    if len(value) < LEAST_LITERAL or _PLACEHOLDER.search(value) or any(c.isspace() for c in value):
+def literal_score(value: str, phrase: bool = False) -> float:
+    """0 to 1: short values and placeholders score 0, varied ones with several kinds of characters 1.
+
+    Words with blanks are prose, unless the name asks for a phrase or they hold
+    digits and other marks as connection strings do.
+    """
+    if len(value) < LEAST_LITERAL or _PLACEHOLDER.fullmatch(value):
+        return 0.0
+    if not phrase and any(c.isspace() for c in value) and not (re.search("[0-9]", value) and re.search(r"[^0-9A-Za-z\s.,:!?'()-]", value)):
         return 0.0
     kinds = sum(bool(re.search(p, value)) for p in ("[0-9]", "[a-z]", "[A-Z]", "[^0-9A-Za-z]"))
     if kinds < 2:
@@ -90,22 +102,36 @@ def base_spans(text: str) -> list[Span]:
     return out + [Span(*m.span(), "hex", *m.span()) for m in _HEX.finditer(text)]
 
 
-def _lexed(text: str) -> Iterator[list[tuple[str, str, int, int]]]:
-    """Tokens (kind, text, start, end) of each line with an assignment mark; start and end leave quotes out."""
-    at = 0
+def _lexed(text: str) -> list[tuple[str, str, int, int]]:
+    """Tokens (kind, text, start, end) of the text, with a mark for each end of a line; start and end leave quotes out."""
+    tokens, at = [], 0
     for line in text.split("\n"):
-        if "=" in line or ":" in line:
-            tokens = []
-            for m in _LEX.finditer(line):
-                kind, start, end = m.lastgroup, at + m.start(), at + m.end()
-                if kind == "string":
-                    tokens.append((kind, m[0][1:-1], start + 1, end - 1))
-                elif kind == "word":
-                    tokens += _split_word(m[0], start)
-                else:
-                    tokens.append((kind, m[0], start, end))
-            yield tokens
+        for m in _LEX.finditer(line):
+            kind, start, end = m.lastgroup, at + m.start(), at + m.end()
+            if kind == "string":
+                tokens.append((kind, m[0][1:-1], start + 1, end - 1))
+            elif kind == "word":
+                tokens += _split_word(m[0], start)
+            else:
+                tokens.append((kind, m[0], start, end))
         at += len(line) + 1
+        # A backslash before the end of a line continues it.
+        if tokens and tokens[-1][:2] == ("other", "\\") and tokens[-1][3] == at - 1:
+            tokens.pop()
+        else:
+            tokens.append(("line", "", at - 1, at - 1))
+    return tokens
+
+
+def _closings(tokens: list[tuple[str, str, int, int]]) -> dict[int, int]:
+    """Place of each opening bracket to that of its closing one."""
+    out, open_ = {}, []
+    for i, (kind, mark, _, _) in enumerate(tokens):
+        if kind == "other" and mark in "([{":
+            open_.append(i)
+        elif kind == "other" and mark in ")]}" and open_ and tokens[open_[-1]][1] + mark in ("()", "[]", "{}"):
+            out[open_.pop()] = i
+    return out
 
 
 def _split_word(word: str, start: int) -> list[tuple[str, str, int, int]]:
@@ -119,41 +145,129 @@ def _split_word(word: str, start: int) -> list[tuple[str, str, int, int]]:
     return [("name" if name and name.end() == len(word) else "bare", word, start, start + len(word))]
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
-    """(name, places of the literals that it gets), with names on the right resolved."""
-    known: dict[str, list[tuple[int, int]]] = {}
-    for tokens in _lexed(text):
-        i = 0
-        while i + 2 < len(tokens):
-            kind, name, _, _ = tokens[i]
-            if kind not in ("name", "string") or tokens[i + 1][0] != "mark" or tokens[i + 1][1] not in ("=", ":", ":=", "=>"):
-                i += 1
-                continue
-            mark, j = tokens[i + 1][1], i + 2
-            # `name: type = value`
-            if mark == ":" and j + 2 < len(tokens) and tokens[j][0] == "name" and tokens[j + 1][:2] == ("mark", "="):
-                j += 2
-            if tokens[j][0] == "name" and tokens[j][1].lower() in _SCHEMES and j + 1 < len(tokens) and tokens[j + 1][0] in ("name", "bare"):
-                j += 1
-            places: list[tuple[int, int]] = []
-            while j < len(tokens):
-                kind, value, start, end = tokens[j]
-                if kind == "name" and value in known:
-                    places += known[value]
-                elif kind in ("string", "bare", "name"):
-                    places.append((start, end))
-                else:
-                    break
+_PAIR = ("=", ":", ":=", "=>")
+Places = list[tuple[int, int]]
+
+
+class _Reader:
+    """Values behind assignment marks. A value is a list of elements, each the places of literals that make one string."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.tokens = text, _lexed(text)
+        self.closing, self.known = _closings(self.tokens), {}
+        self.starts = [0, *(m.end() for m in re.finditer("\n", text))]
+
+    def is_(self, j: int, kind: str, *marks: str) -> bool:
+        return j < len(self.tokens) and self.tokens[j][0] == kind and (not marks or self.tokens[j][1] in marks)
+
+    def indent(self, at: int) -> int:
+        """Blanks at the start of the line of a place."""
+        start = self.starts[bisect_right(self.starts, at) - 1]
+        return _BLANKS.match(self.text, start).end() - start
+
+    def after_lines(self, j: int) -> int:
+        while self.is_(j, "line"):
+            j += 1
+        return j
+
+    def elements(self, first: int, last: int) -> list[Places]:
+        """Elements between brackets, without those that are pairs themselves or names of settings."""
+        out, element, pair, j = [], [], False, first
+        while j <= last:
+            kind, value, start, end = self.tokens[j]
+            if kind == "other" and j in self.closing and (pair or value == "{"):
+                j = self.closing[j]
+            elif kind == "other" and value in ",;()[]":
+                if element and not pair:
+                    out.append(element)
+                element, pair = [], False
+            elif kind == "mark" and value in _PAIR:
+                pair = True
+            elif kind == "name" and value in self.known:
+                element += [p for e in self.known[value] for p in e]
+            elif kind in ("string", "bare") and not (_NAME.fullmatch(value) and name_score(value)):
+                element.append((start, end))
+            j += 1
+        return out
+
+    def block(self, j: int, indent: int, items: bool) -> list[Places]:
+        """Lines (or items behind `-`) that are indented deeper than their key, or as deep for items."""
+        out, j = [], self.after_lines(j)
+        while j < len(self.tokens):
+            end = j
+            while not self.is_(end, "line"):
+                end += 1
+            deep = self.indent(self.tokens[j][2])
+            if deep < indent + (not items) or (items and not self.is_(j, "other", "-")):
+                break
+            j += items
+            if end > j and not any(self.is_(k, "mark", *_PAIR) for k in range(j, end)):
+                out.append([(self.tokens[j][2], self.tokens[end - 1][3])])
+            j = self.after_lines(end)
+        return out
+
+    def value(self, j: int, indent: int) -> tuple[list[Places], int]:
+        """Elements of the value from token j on, and the token behind it."""
+        if self.is_(j, "other", "|", ">"):
+            while not self.is_(j, "line"):
                 j += 1
-                if j + 1 < len(tokens) and tokens[j][:2] == ("mark", "+"):
-                    j += 1
-                else:
-                    break
-            if places:
-                known[name] = places
+            return self.block(j, indent, False), j
+        if self.is_(j, "line"):
+            k = self.after_lines(j)
+            if self.is_(k, "other", "-"):
+                return self.block(j, indent, True), j
+            # On a line of its own, the value is deeper than its name.
+            if k >= len(self.tokens) or self.indent(self.tokens[k][2]) <= indent or self.is_(k + 1, "mark", *_PAIR):
+                return [], j
+            j = k
+        if self.is_(j, "name") and self.tokens[j][1].lower() in _SCHEMES and j + 1 < len(self.tokens) and self.tokens[j + 1][0] in ("name", "bare"):
+            j += 1
+        parts: list[list[Places]] = []
+        while j < len(self.tokens):
+            kind, value, start, end = self.tokens[j]
+            opened = j + 1 if kind == "name" and self.is_(j + 1, "other", "(", "[") else j
+            if opened in self.closing and self.is_(opened, "other", "(", "["):
+                parts.append(self.elements(opened + 1, self.closing[opened]))
+                j = self.closing[opened]
+            elif kind == "name" and value in self.known:
+                parts.append(self.known[value])
+            elif kind in ("string", "bare", "name"):
+                parts.append([[(start, end)]])
+            else:
+                break
+            j += 1
+            plus = self.after_lines(j)
+            if not self.is_(plus, "mark", "+"):
+                break
+            j = self.after_lines(plus + 1)
+        if len(parts) == 1:
+            return [list(e) for e in parts[0] if e], j
+        joined = [p for part in parts for e in part for p in e]
+        return [joined] if joined else [], j
+
+
+def assignments(text: str) -> Iterator[tuple[str, Places]]:
+    """(name, places of the literals that it gets), with names on the right resolved; each element of a list by itself."""
+    reader = _Reader(text)
+    tokens, i = reader.tokens, 0
+    while i + 2 < len(tokens):
+        kind, name, start, _ = tokens[i]
+        # A subscript gives its string or name to the pair.
+        mark = i + 2 if i and reader.is_(i - 1, "other", "[") and reader.is_(i + 1, "other", "]") else i + 1
+        if kind not in ("name", "string") or not reader.is_(mark, "mark", *_PAIR):
+            i += 1
+            continue
+        j = mark + 1
+        # `name: type = value`
+        if tokens[mark][1] == ":" and reader.is_(j, "name") and reader.is_(j + 1, "mark", "="):
+            j += 2
+        found, j = reader.value(j, reader.indent(start))
+        if found:
+            reader.known[name] = found
+            for places in found:
                 yield name, places
-            # The value may itself be the name of the next pair.
-            i = max(i + 2, j - 1)
+        # The value may itself be the name of the next pair, or hold pairs.
+        i = mark + 1
 
 
 def spans(text: str) -> list[Span]:
@@ -165,7 +279,7 @@ def spans(text: str) -> list[Span]:
             weight = name_score(name)
             if weight:
                 whole = "".join(text[s:e] for s, e in places)
-                score = weight * literal_score(whole)
+                score = weight * literal_score(whole, "phrase" in name.lower())
                 for place in places:
                     found[place] = max(found.get(place, 0), score)
     taken = [(b.start, b.end) for b in base]

@@ -61,3 +61,27 @@ def test_hidden_values_and_other_columns(rows):
     text = f'x token = "{s.MASK}" y'
     assert sorted(map(tuple, got), key=str) == sorted([(1, text, "en", len(text)), *docs[1:]], key=str)
     assert s.scan(rows([], "doc_id long, text string")).collect() == s.hide_secrets(rows([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ('config["db_pwd"] = "q9W8e7R6t5Y4"', ["q9W8e7R6t5Y4"]),
+        ("os.environ['DB_CREDENTIAL'] = 'q9W8e7R6t5Y4'", ["q9W8e7R6t5Y4"]),
+        ('credentials: ["q9W8e7R6t5Y4", "Z1x2C3v4B5n6"]', ["q9W8e7R6t5Y4", "Z1x2C3v4B5n6"]),
+        ('db_pwd = ("q9W8e7"\n   "R6t5Y4u3")', ["q9W8e7", "R6t5Y4u3"]),
+        ('db_pwd = str("q9W8e7R6t5Y4")', ["q9W8e7R6t5Y4"]),
+        ('db_pwd = \\\n  "q9W8e7R6t5Y4"', ["q9W8e7R6t5Y4"]),
+        ('db_pwd = "q9W8e7" \\\n  + "R6t5Y4u3"', ["q9W8e7", "R6t5Y4u3"]),
+        ("db_pwd: |-\n  q9W8e7R6t5Y4\nname: x", ["q9W8e7R6t5Y4"]),
+        ("credentials:\n  - q9W8e7R6t5Y4\n  - Z1x2C3v4B5n6\n", ["q9W8e7R6t5Y4", "Z1x2C3v4B5n6"]),
+        ('db_pwd = "q9W8example7R6t5"', ["q9W8example7R6t5"]),
+        ('passphrase = "correct horse battery staple"', ["correct horse battery staple"]),
+        ('db_pwd = "your-api-key-here"', []),
+        ('db_pwd = os.getenv("DB_PASSWORD")', []),
+        ('db_pwd = input("Type it in, then go on: ")', []),
+        ("my pass:\nA1b2C3d4e5 is a flight", []),
+    ],
+)
+def test_forms_of_assignment(text, want):
+    assert [text[x.start : x.end] for x in s.spans(text) if x.kind == "literal"] == want
