@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import chat_format, hilbert_shards, hnsw, maxent_lm, nbest_pieces, packing, robust_rules, secret_scan, simhash, style_tree
+from tabmill.llm import chat_format, hilbert_shards, hnsw, maxent_lm, merkle, nbest_pieces, packing, robust_rules, secret_scan, simhash, style_tree, va_clusters
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -67,3 +67,20 @@ def op2_hashed_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_nbest_segmentation(spark: SparkSession, folder: str) -> DataFrame:
     return nbest_pieces.encoded(table(spark, folder, "documents"))
+
+
+@query
+def op11_bitmap_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    found = merkle.manifest(table(spark, folder, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+ORACLES["op11_bitmap_merkle_manifest"] = merkle.ORACLE_SQL
+
+
+@query
+def op13_va_file_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return va_clusters.clustered(table(spark, folder, "embeddings"))
+
+
+ORACLES["op13_va_file_clustering"] = va_clusters.ORACLE_SQL
