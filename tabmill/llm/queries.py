@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmill.llm import chat_format, hilbert_shards, hnsw, maxent_lm, merkle, nbest_pieces, packing, robust_rules, secret_scan, simhash, style_tree, va_clusters
+from tabmill.llm import chat_format, hilbert_shards, hnsw, maxent_lm, merkle, nbest_pieces, packing, repeats, robust_rules, secret_scan, simhash, style_tree, va_clusters
 from tabmill.llm.shared import table
 
 QUERIES = {}
@@ -84,3 +84,11 @@ def op13_va_file_clustering(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op13_va_file_clustering"] = va_clusters.ORACLE_SQL
+
+
+@query
+def op12_seed_extend_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(repeats.without_repeats(table(spark, folder, "documents")))
+
+
+ORACLES["op12_seed_extend_dedup"] = repeats.ORACLE_SQL
