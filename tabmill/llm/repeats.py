@@ -12,11 +12,11 @@ around it, one for each pair of steps to the left and right, are joined with
 those of the other spans. Windows that an earlier document holds join up to
 the maximal repeats, which are removed.
 
-Documents travel in compressed blocks, and seeds as packed arrays, one row for
-each block and range of anchors. Within a block equal seeds are one, so a
-passage of a third of all documents gives one entry for each block; an anchor
-with many spans in one block is not compared by span at all, its windows are
-joined at once. No pairs are formed anywhere.
+Documents travel in compressed blocks, some blocks in a group, and seeds as
+packed arrays, one row for each group and range of anchors. Within a block
+equal seeds are one, so a passage of a third of all documents gives one entry
+for each block; an anchor with many spans in one block is not compared by span
+at all, its windows are joined at once. No pairs are formed anywhere.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ from tabmill.llm.shared import for_workers, staged
 
 WINDOW = 13  # words
 ANCHOR = 8  # words of a run that may be an anchor
-BLOCK_BYTES = 4 << 20  # texts of a block; a longer text is a block of its own
-RANGE_BYTES = 32 << 20  # texts whose seeds one task compares
+BLOCK_BYTES = 2 << 20  # texts of a block; a longer text is a block of its own
+GROUP_BYTES = 32 << 20  # texts of a group of blocks, which are one row
+RANGE_BYTES = 16 << 20  # texts whose seeds one task compares
 MANY_SPANS = 8  # of one anchor in one block, beyond which its windows are joined at once
 _PIECE = 1 << 20  # bytes that are hashed at once
 
@@ -121,10 +122,6 @@ class Seeds:
     most: np.ndarray
     many: np.ndarray
 
-    def classes(self, number: np.ndarray) -> np.ndarray:
-        """Classes by their numbers among those that are compared by span."""
-        return np.flatnonzero(~self.many)[number]
-
     def windows(self, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of the seed and first word of each window of the given seeds."""
         count = self.count[seed]
@@ -141,7 +138,7 @@ class Seeds:
         different keys with the least doc_id of each, by key.
         """
         wanted = self.many.copy()
-        wanted[self.classes(ask)] = True
+        wanted[ask] = True
         seed, window = self.windows(np.flatnonzero(wanted[self.of] & (self.doc == self.least[self.of])))
         a, b = self.keys(window)
         order = np.lexsort((b, a))
@@ -202,198 +199,203 @@ def seeds(texts: list[bytes], ids: list[int | None]) -> Seeds:
 # Blocks
 
 
-_BLOCK = "block long, ids array<long>, sizes array<int>, texts binary, bytes long"
+_GROUP = "group long, ids array<array<long>>, sizes array<array<int>>, texts array<binary>, bytes long"
+_GROUP_TYPES = (pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.list_(pa.int32())), pa.list_(pa.binary()), pa.int64())
+Block = tuple[list[bytes], list[int | None]]
 
 
-def _pack(block_bytes: int):
+def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[Block]:
+    texts, ids, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())):
+            data = text.as_py() or b""
+            if ids and size + len(data) > block_bytes:
+                yield texts, ids
+                texts, ids, size = [], [], 0
+            ids.append(doc_id)
+            texts.append(data)
+            size += len(data) + 1
+    if ids:
+        yield texts, ids
+
+
+def _pack(block_bytes: int, group_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, size = TaskContext.get().partitionId(), 0, 0
-        ids: list[int | None] = []
-        texts: list[bytes] = []
+        number, size = TaskContext.get().partitionId() << 32, 0
+        held: list[tuple[list, list, bytes]] = []
 
         def flush() -> pa.RecordBatch:
-            data = zstandard.ZstdCompressor(level=3).compress(b" ".join(texts))
-            row = [(task << 32) | number], [ids], [list(map(len, texts))], [data], [sum(map(len, texts))]
-            kinds = pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.int64()
-            return pa.record_batch([pa.array(x, k) for x, k in zip(row, kinds)], names=["block", "ids", "sizes", "texts", "bytes"])
-
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())):
-                data = text.as_py() or b""
-                if ids and size + len(data) > block_bytes:
-                    yield flush()
-                    number, size, ids, texts = number + 1, 0, [], []
-                ids.append(doc_id)
-                texts.append(data)
-                size += len(data) + 1
-        if ids:
+            row = [number], *([list(x)] for x in zip(*held)), [size]
+            return pa.record_batch([pa.array(x, k) for x, k in zip(row, _GROUP_TYPES)], names=["group", "ids", "sizes", "texts", "bytes"])
+
+        for texts, ids in _blocks(batches, block_bytes):
+            held.append((ids, list(map(len, texts)), zstandard.ZstdCompressor(level=3).compress(b" ".join(texts))))
+            size += sum(map(len, texts))
+            if size >= group_bytes or len(held) == 1 << 15:
+                yield flush()
+                held, number, size = [], number + 1, 0
+        if held:
             yield flush()
 
     return run
 
 
-def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents as rows of some megabytes of texts, written once."""
+def groups_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """The documents as rows of compressed blocks of texts, written once."""
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return staged(for_workers(slim).mapInArrow(_pack(block_bytes), _BLOCK), "text-blocks")
+    return staged(for_workers(slim).mapInArrow(_pack(block_bytes, group_bytes), _GROUP), "text-blocks")
 
 
-def _opened(row: dict) -> tuple[list[bytes], list[int | None]]:
-    data = zstandard.ZstdDecompressor().decompress(row["texts"])
-    texts, at = [], 0
-    for size in row["sizes"]:
-        texts.append(data[at : at + size])
-        at += size + 1
-    return texts, row["ids"]
+def _opened(row: dict) -> Iterator[Block]:
+    """Blocks of a group, one at a time."""
+    for ids, sizes, packed in zip(row["ids"], row["sizes"], row["texts"]):
+        data, texts, at = zstandard.ZstdDecompressor().decompress(packed), [], 0
+        for size in sizes:
+            texts.append(data[at : at + size])
+            at += size + 1
+        yield texts, ids
 
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows one by one: a batch may hold many blocks, and a block is large once opened."""
+    """Rows one by one: a batch may hold many groups or ranges, and each is large once opened."""
     for batch in batches:
         for k in range(batch.num_rows):
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Numbers by byte planes, compressed: sorted hashes and ids share their high bytes."""
-    values = np.ascontiguousarray(values)
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(planes)
+# Entries: what a block sends to a range. Columns: two hashes, least doc_id,
+# block of the group, number in the block, and flags.
+_ENTRY = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("block", "<u2"), ("number", "<u4"), ("flags", "u1")])
+_ANSWER = np.dtype([("block", "<u2"), ("number", "<u4"), ("code", "u1")])
+_MORE, _MANY = 1, 2  # a class of several doc_ids; an anchor with many spans
+_COVER, _ASK = 1, 2  # an earlier document has it; join its windows
 
 
-def _unpacked(data: bytes, kind: type) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+def _packed(columns: dict[str, np.ndarray], kinds: np.dtype) -> bytes:
+    """Columns by byte planes, compressed: sorted hashes and numbers share their high bytes."""
+    planes = [np.ascontiguousarray(columns[n], kinds[n]).view(np.uint8).reshape(-1, kinds[n].itemsize).T.tobytes() for n in kinds.names]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def _slices(hashes: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
-    """(range, from, to) of sorted hashes by their high halves."""
-    part = ((hashes >> U(32)) * U(ranges)) >> U(32)
-    cuts = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64)).tolist()
-    return [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+def _unpacked(data: bytes, kinds: np.dtype) -> dict[str, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    n, at, out = len(planes) // kinds.itemsize, 0, {}
+    for name in kinds.names:
+        size = kinds[name].itemsize
+        out[name] = np.ascontiguousarray(planes[at : at + n * size].reshape(size, n).T).view(kinds[name]).reshape(-1)
+        at += n * size
+    return out
 
 
-_SENT = "part int, block long, first long, a binary, b binary, docs binary, more binary, many boolean"
-_SENT_NAMES = ("part", "block", "first", "a", "b", "docs", "more", "many")
-_SENT_TYPES = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
+def _joined(parts: list[bytes], kinds: np.dtype) -> dict[str, np.ndarray]:
+    columns = [_unpacked(p, kinds) for p in parts] or [{n: np.empty(0, kinds[n]) for n in kinds.names}]
+    return {n: np.concatenate([c[n] for c in columns]) for n in kinds.names}
 
 
-def _sent(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _SENT_TYPES)], names=list(_SENT_NAMES))
+def _seed_entries(s: Seeds, ask: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Classes; of an anchor with many spans only that it occurs."""
+    few, many = np.flatnonzero(~s.many), np.flatnonzero(s.many)
+    if len(many):
+        many = many[np.flatnonzero(np.concatenate([[True], s.anchor[many][1:] != s.anchor[many][:-1]]))]
+    number = np.concatenate([few, many])
+    flags = np.where(s.many[number], _MANY, np.where(s.most[number] > s.least[number], _MORE, 0))
+    return s.anchor[number], s.span[number], s.least[number], number, flags
 
 
-def _send_seeds(ranges: int):
-    """Classes of each block by ranges of anchors; of an anchor with many spans only that it occurs."""
+def _window_entries(s: Seeds, ask: np.ndarray) -> tuple[np.ndarray, ...]:
+    _, (a, b, least), _, _ = s.asked(ask)
+    return a, b, least, np.arange(len(a)), np.zeros(len(a), np.uint8)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _each(batches):
-            s = seeds(*_opened(row))
-            few = ~s.many
-            rows = []
-            for many, (a, b, least, more) in ((False, (x[few] for x in (s.anchor, s.span, s.least, s.most > s.least))), (True, (x[s.many] for x in (s.anchor, s.span, s.least, s.most > s.least)))):
-                if many:
-                    heads = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.arange(0)
-                    least = np.minimum.reduceat(least, heads) if len(a) else least
-                    a, b, more = a[heads], np.zeros(len(heads), np.uint64), np.ones(len(heads), bool)
-                rows += [(p, row["block"], x, _packed(a[x:y]), _packed(b[x:y]), _packed(least[x:y]), _packed(more[x:y].astype(np.uint8)), many) for p, x, y in _slices(a, ranges)]
-            if rows:
-                yield _sent(rows)
 
-    return run
+def _answers_by_block(row: dict, name: str) -> list[dict[str, np.ndarray]]:
+    """The answers to each block of a group."""
+    found = _joined(row.get(name) or [], _ANSWER)
+    order = np.argsort(found["block"], kind="stable")
+    cuts = np.searchsorted(found["block"][order], np.arange(len(row["texts"]) + 1))
+    return [{n: found[n][order[x:y]] for n in ("number", "code")} for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
-_FOUND = "block long, cover binary, ask binary"
+def _chosen(answer: dict[str, np.ndarray], code: int) -> np.ndarray:
+    return answer["number"][answer["code"] == code].astype(np.int64)
 
 
-def _gathered(parts: list[dict]) -> tuple[np.ndarray, ...]:
-    """(a, b, doc, more, many, part, number) of all entries of a range."""
-    columns = [(_unpacked(p["a"], U), _unpacked(p["b"], U), _unpacked(p["docs"], np.int64), _unpacked(p["more"], np.uint8).astype(bool)) for p in parts]
-    sizes = [len(c[0]) for c in columns]
-    a, b, doc, more = (np.concatenate(x) for x in zip(*columns))
-    part = np.repeat(np.arange(len(parts)), sizes)
-    number = np.concatenate([p["first"] + np.arange(n) for p, n in zip(parts, sizes)])
-    return a, b, doc, more, np.array([p["many"] for p in parts])[part], part, number
+def _send(entries, ranges: int):
+    """(part, group, entries): what the blocks of each group send to each range of the first hash."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            held = []
+            for k, (block, answer) in enumerate(zip(_opened(row), _answers_by_block(row, "answers"))):
+                a, b, doc, number, flags = entries(seeds(*block), _chosen(answer, _ASK))
+                held.append((a, b, doc, np.full(len(a), k, np.uint16), number.astype(np.uint32), flags.astype(np.uint8)))
+            columns = dict(zip(_ENTRY.names, map(np.concatenate, zip(*held))))
+            del held
+            order = np.argsort(columns["a"], kind="stable")
+            part = ((columns["a"][order] >> U(32)) * U(ranges)) >> U(32)
+            cuts = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64)).tolist()
+            rows = [(p, row["group"], _packed({n: c[order[x:y]] for n, c in columns.items()}, _ENTRY)) for p, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+            if rows:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], names=["part", "group", "entries"])
 
-def _answers(parts: list[dict], part: np.ndarray, number: np.ndarray, lists: list[np.ndarray]) -> pa.RecordBatch | None:
-    """For each block the numbers of its entries in each of the lists (masks over the entries)."""
-    rows = []
-    for k, p in enumerate(parts):
-        mine = part == k
-        chosen = [number[mine & x].astype(np.int64) for x in lists]
-        if any(map(len, chosen)):
-            rows.append((p["block"], *map(_packed, chosen)))
-    if not rows:
-        return None
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))], names=["block", "cover", "ask"])
+    return run
 
 
-def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the keys, and the number of each ordered entry's group."""
+def _runs_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by the keys, the number of each ordered entry's run of equal keys, and the first entry of each run."""
     order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
+    new[:1] = True
     for k in keys:
         new[1:] |= k[order][1:] != k[order][:-1]
-    return order, np.cumsum(new)
+    return order, np.cumsum(new) - 1, np.flatnonzero(new)
 
 
-def _least(doc: np.ndarray, order: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Least doc_id of each entry's group, in the order of the entries."""
-    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+def _least(doc: np.ndarray, order: np.ndarray, run: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Least doc_id of each entry's run, in the order of the entries."""
     out = np.empty(len(doc), np.int64)
-    out[order] = np.minimum.reduceat(doc[order], heads)[group]
+    out[order] = np.minimum.reduceat(doc[order], heads)[run]
     return out
 
 
-def _compare_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Classes that an earlier document has in another block (cover), and those whose windows are to be joined (ask)."""
-    for row in _each(batches):
-        parts = row["parts"]
-        a, b, doc, more, many, part, number = _gathered(parts)
-        order, group = _groups(a, b)
-        least = _least(doc, order, group)
-        by_anchor, anchor = _groups(a)
-        size = anchor[-1] + 1
-        of = np.empty(len(a), np.int64)
-        of[by_anchor] = anchor
-        several = np.zeros(size, bool)
-        several[of[doc != _least(doc, by_anchor, anchor)]] = True
-        several[of[more | many]] = True
-        heads = order[np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))]
-        extended = np.bincount(of[heads], minlength=size) > 1
-        extended[of[many]] = True
-        found = _answers(parts, part, number, [~many & (least < doc), ~many & (several & extended)[of] & (least == doc)])
-        if found is not None:
-            yield found
-
-
-def _send_windows(ranges: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _each(batches):
-            s = seeds(*_opened(row))
-            _, (a, b, least), _, _ = s.asked(_numbers(row["ask"]))
-            none = np.zeros(len(a), np.uint8)
-            rows = [(p, row["block"], x, _packed(a[x:y]), _packed(b[x:y]), _packed(least[x:y]), _packed(none[x:y]), False) for p, x, y in _slices(a, ranges)]
-            if rows:
-                yield _sent(rows)
+def _seed_codes(x: dict[str, np.ndarray]) -> np.ndarray:
+    """Cover: an earlier document has the class. Ask: the anchor stands in several spans and documents, and this one is the first of its class."""
+    doc, more, many = x["doc"], x["flags"] & _MORE > 0, x["flags"] & _MANY > 0
+    order, run, heads = _runs_of(x["a"], x["b"])
+    least = _least(doc, order, run, heads)
+    by_anchor, group, firsts = _runs_of(x["a"])
+    of = np.empty(len(doc), np.int64)
+    of[by_anchor] = group
+    several, extended = np.zeros(len(firsts), bool), np.bincount(of[order[heads]], minlength=len(firsts)) > 1
+    several[of[(doc != _least(doc, by_anchor, group, firsts)) | more | many]] = True
+    extended[of[many]] = True
+    return np.where(many, 0, np.where(least < doc, _COVER, np.where((several & extended)[of], _ASK, 0)))
 
-    return run
 
+def _window_codes(x: dict[str, np.ndarray]) -> np.ndarray:
+    """Cover: an earlier document has the window."""
+    return np.where(_least(x["doc"], *_runs_of(x["a"], x["b"])) < x["doc"], _COVER, 0)
 
-def _compare_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows that an earlier document has in another block."""
-    for row in _each(batches):
-        parts = row["parts"]
-        a, b, doc, _, _, part, number = _gathered(parts)
-        order, group = _groups(a, b)
-        earlier = _least(doc, order, group) < doc
-        found = _answers(parts, part, number, [earlier, np.zeros(len(doc), bool)])
-        if found is not None:
-            yield found
 
+def _compare(codes):
+    """(group, answers): the entries of a range with a code, back to the groups that sent them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            parts = row["parts"]
+            sent = [_unpacked(p["entries"], _ENTRY) for p in parts]
+            sizes = [len(x["a"]) for x in sent]
+            x = {n: np.concatenate([y[n] for y in sent]) for n in _ENTRY.names}
+            del sent
+            code, rows, at = codes(x), [], 0
+            for p, size in zip(parts, sizes):
+                mine = at + np.flatnonzero(code[at : at + size])
+                if len(mine):
+                    rows.append((p["group"], _packed({"block": x["block"][mine], "number": x["number"][mine], "code": code[mine]}, _ANSWER)))
+                at += size
+            if rows:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))], names=["group", "answers"])
 
-def _numbers(lists: list[bytes] | None) -> np.ndarray:
-    return np.concatenate([np.empty(0, np.int64), *[_unpacked(x, np.int64) for x in lists or []]])
+    return run
 
 
 _RESULT = T.StructType([
@@ -409,7 +411,7 @@ def covered_words(s: Seeds, cover: np.ndarray, ask: np.ndarray, earlier: np.ndar
     of its windows' keys that an earlier document has in another block.
     """
     whole = np.zeros(len(s.anchor), bool)
-    whole[s.classes(cover)] = True
+    whole[cover] = True
     _, full = s.windows(np.flatnonzero(whole[s.of] | (s.doc > s.least[s.of])))
     seed, (_, _, least), key, window = s.asked(ask)
     known = np.zeros(len(least), bool)
@@ -423,23 +425,23 @@ def covered_words(s: Seeds, cover: np.ndarray, ask: np.ndarray, earlier: np.ndar
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row in _each(batches):
-        texts, ids = _opened(row)
-        s = seeds(texts, ids)
-        gone = covered_words(s, _numbers(row["cover"]), _numbers(row["ask"]), _numbers(row["earlier"]))
-        ends = np.cumsum(s.words)
-        kept, repeats, removed = [], [], []
-        for text, a, b in zip(texts, (ends - s.words).tolist(), ends.tolist()):
-            mask = gone[a:b]
-            words = text.split()
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]]))).reshape(-1, 2)
-            removed.append(int(mask.sum()))
-            repeats.append([{"start": x, "end": y} for x, y in edges.tolist()])
-            kept.append(b" ".join(compress(words, (~mask).tolist()) if removed[-1] else words).decode())
-        yield pa.record_batch(
-            [pa.array(ids, pa.int64()), pa.array(s.words.tolist(), pa.int64()), pa.array(removed, pa.int64()), pa.array(repeats, _REPEATS), pa.array(kept, pa.string())], names=_RESULT.names)
-
-
-def without_repeats(docs: DataFrame, range_bytes: int = RANGE_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+        for (texts, ids), answer, window in zip(_opened(row), _answers_by_block(row, "answers"), _answers_by_block(row, "windows")):
+            s = seeds(texts, ids)
+            gone = covered_words(s, _chosen(answer, _COVER), _chosen(answer, _ASK), _chosen(window, _COVER))
+            ends = np.cumsum(s.words)
+            kept, repeats, removed = [], [], []
+            for text, a, b in zip(texts, (ends - s.words).tolist(), ends.tolist()):
+                mask = gone[a:b]
+                words = text.split()
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]]))).reshape(-1, 2)
+                removed.append(int(mask.sum()))
+                repeats.append([{"start": x, "end": y} for x, y in edges.tolist()])
+                kept.append(b" ".join(compress(words, (~mask).tolist()) if removed[-1] else words).decode())
+            yield pa.record_batch(
+                [pa.array(ids, pa.int64()), pa.array(s.words.tolist(), pa.int64()), pa.array(removed, pa.int64()), pa.array(repeats, _REPEATS), pa.array(kept, pa.string())], names=_RESULT.names)
+
+
+def without_repeats(docs: DataFrame, range_bytes: int = RANGE_BYTES, block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row for each row of `docs` (doc_id, text): its words without those that an earlier document's windows cover.
 
     Columns: doc_id, n_words, n_removed, repeats (maximal runs of removed words,
@@ -452,22 +454,21 @@ def without_repeats(docs: DataFrame, range_bytes: int = RANGE_BYTES, block_bytes
     nothing; an empty table gives no rows; further columns are ignored. Windows
     are compared by two 64-bit hashes over two hashes of each word.
     """
-    blocks = blocks_of(docs, block_bytes)
-    size = blocks.agg(F.sum("bytes")).first()[0] or 0
+    groups = groups_of(docs, block_bytes, group_bytes)
+    size = groups.agg(F.sum("bytes")).first()[0] or 0
     ranges = max(1, -(-size // range_bytes))
 
-    def compared(sent: DataFrame, compare) -> DataFrame:
-        listed = sent.groupBy("part").agg(F.collect_list(F.struct(*_SENT_NAMES[1:])).alias("parts"))
-        return for_workers(listed.select("parts")).mapInArrow(compare, _FOUND)
-
-    answers = compared(for_workers(blocks).mapInArrow(_send_seeds(ranges), _SENT), _compare_seeds)
-    answers = staged(answers.groupBy("block").agg(F.collect_list("cover").alias("cover"), F.collect_list("ask").alias("ask")), "seed-answers")
-    asked = blocks.join(answers.drop("cover"), "block", "left")
-    windows = compared(for_workers(asked).mapInArrow(_send_windows(ranges), _SENT), _compare_windows)
-    earlier = windows.groupBy("block").agg(F.collect_list("cover").alias("earlier"))
-    # Answers are small beside the texts; together they meet them once more.
-    both = staged(answers.join(earlier, "block", "full"), "repeat-answers")
-    return for_workers(blocks.join(both, "block", "left")).mapInArrow(_remove, _RESULT)
+    def compared(rows: DataFrame, entries, codes, name: str) -> DataFrame:
+        """Answers to each group as one row; they are small beside the texts."""
+        sent = for_workers(rows).mapInArrow(_send(entries, ranges), "part int, group long, entries binary")
+        listed = sent.groupBy("part").agg(F.collect_list(F.struct("group", "entries")).alias("parts")).select("parts")
+        found = for_workers(listed).mapInArrow(_compare(codes), "group long, answers binary")
+        return staged(found.groupBy("group").agg(F.collect_list("answers").alias(name)), f"repeat-{name}")
+
+    answers = compared(groups, _seed_entries, _seed_codes, "answers")
+    windows = compared(groups.join(answers, "group", "left"), _window_entries, _window_codes, "windows")
+    both = answers.join(windows, "group", "full")
+    return for_workers(groups.join(both, "group", "left")).mapInArrow(_remove, _RESULT)
 
 
 def digests(found: DataFrame) -> DataFrame:

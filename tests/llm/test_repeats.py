@@ -58,7 +58,7 @@ def documents():
     return docs
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 2000, "range_bytes": 9000}, {"block_bytes": 1}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 2000, "range_bytes": 9000, "group_bytes": 1}, {"block_bytes": 1, "group_bytes": 5000}])
 def test_equal_to_all_windows(rows, options):
     docs = documents()
     df = rows([(i, t, 1, "x") for i, t in docs], SCHEMA).repartition(3)
@@ -70,7 +70,7 @@ def test_anchors_with_many_spans_in_some_blocks(rows):
     core = prose(rng, 11, 900)
     docs = [(k, f"{prose(rng, 6, 3)} {core} {prose(rng, 6, 3)}") for k in range(400)]
     df = rows([(i, t, 1, "x") for i, t in docs], SCHEMA).repartition(4)
-    assert got(df, block_bytes=3000) == plain(docs) == got(df, block_bytes=100)
+    assert got(df, block_bytes=3000) == plain(docs) == got(df, block_bytes=100, group_bytes=2000)
 
 
 def test_empty_table(rows):
@@ -88,8 +88,10 @@ def test_equal_words_have_equal_hashes(texts):
         assert len(set(zip(words, lane.tolist()))) == len(set(words)) == len(set(lane.tolist()))
 
 
-def test_numbers_survive_packing():
-    for kind in (np.uint64, np.int64):
-        values = np.random.default_rng(1).integers(0, 1 << 62, 1000).astype(kind)
-        assert (r._unpacked(r._packed(values), kind) == values).all()
-        assert len(r._unpacked(r._packed(values[:0]), kind)) == 0
+def test_entries_survive_packing():
+    rng = np.random.default_rng(1)
+    values = {n: rng.integers(0, 200, 1000).astype(r._ENTRY[n]) for n in r._ENTRY.names}
+    values["a"] = np.sort(rng.integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+    for n in (1000, 1, 0):
+        back = r._unpacked(r._packed({k: x[:n] for k, x in values.items()}, r._ENTRY), r._ENTRY)
+        assert all((back[k] == x[:n]).all() and back[k].dtype == x.dtype for k, x in values.items())
