@@ -39,7 +39,7 @@ from tabmill.llm.shared import for_workers, staged
 WINDOW = 13  # words
 ANCHOR = 8  # words of a run that may be an anchor
 BLOCK_BYTES = 2 << 20  # texts of a block; a longer text is a block of its own
-GROUP_BYTES = 32 << 20  # texts of a group of blocks, which are one row
+GROUP_BYTES = 16 << 20  # texts of a group of blocks, which are one row
 RANGE_BYTES = 16 << 20  # texts whose seeds one task compares
 MANY_SPANS = 8  # of one anchor in one block, beyond which its windows are joined at once
 _PIECE = 1 << 20  # bytes that are hashed at once
