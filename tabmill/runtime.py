@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,3 +125,17 @@ def sized(df: DataFrame) -> SizedTable:
     finally:
         held.unpersist()
     return SizedTable(kept, rows, size)
+
+
+def with_package(df: DataFrame) -> DataFrame:
+    """`df`, after this package's folder went on the import path of Python workers.
+
+    That serves sessions on machines that share the folder; other clusters
+    take the package by --py-files.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = df.sparkSession.sparkContext.environment
+    paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df
