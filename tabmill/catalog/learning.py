@@ -128,20 +128,20 @@ def shown(comparison):
 @query("k05_k13_model_compare_small")
 def k13_small(spark, d):
     data = R.prepare(order_matrix(spark, d), "price_log", ["o_orderkey"], stratified=False, deduplicate=False)
-    return shown(R.compare(data, A.small_models(trees=10, depth=8)))
+    return shown(R.compare(data, A.small_models(trees=10)))
 
 
 @query("k08_k10_k11_k20_model_compare_large")
 def k13_large(spark, d):
-    data = R.prepare(order_matrix(spark, d), "price_log", ["o_orderkey"])
-    return shown(R.compare(data, A.large_models(rounds=5, trees=10, depth_limit=6)))
+    data = R.prepare(order_matrix(spark, d), "price_log", ["o_orderkey"], native=True)
+    return shown(R.compare(data, A.large_models(rounds=5, trees=10)))
 
 
 @query("k14_k16_k17_tune_grid")
 def k14(spark, d):
     data = R.prepare(order_matrix(spark, d), "price_log", ["o_orderkey"], stratified=False, deduplicate=False)
-    specs = [A.ModelSpec("Gradient Boosting", lambda s: A.boosting(5, 0.1, 3))]
-    grid = tune.combinations({"stepSize": [0.05, 0.1], "maxDepth": [3, 5]})
+    specs = [m.with_settings({"rounds": 5}) for m in A.small_models() if m.name == "Gradient Boosting"]
+    grid = tune.combinations({"rate": [0.05, 0.1], "depth": [3, 5]})
     found = R.compare_and_tune(data, specs, {"Gradient Boosting": grid}, folds=3, parallelism=4)
     return shown(found)
 
@@ -149,8 +149,8 @@ def k14(spark, d):
 @query("k15_a12_tune_random")
 def k15(spark, d):
     data = R.prepare(order_matrix(spark, d), "price_log", ["o_orderkey"], deduplicate=False)
-    specs = [A.ModelSpec("Random Forest", lambda s: A.forest(5, 6, 10, "0.5"))]
-    draws = tune.drawn({"maxDepth": [4, 6], "featureSubsetStrategy": ["0.4", "0.5", "0.6"]}, 3)
+    specs = [m.with_settings({"trees": 5}) for m in A.large_models() if m.name == "Random Forest"]
+    draws = tune.drawn({"depth": [10, 15, 20], "min_split": [15, 20, 25], "share": [0.4, 0.5, 0.6]}, 3)
     found = R.compare_and_tune(data, specs, {"Random Forest": draws}, folds=2, parallelism=3)
     path = scratch(spark, "settings")
     write_settings(spark, path, found.best, found.settings.get("Random Forest (tuned)", {}))

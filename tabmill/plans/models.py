@@ -1,4 +1,4 @@
-"""Regression model settings as MLlib estimators in a saved-state pipeline."""
+"""Regression models: linear ones as MLlib pipelines with their saved state, trees over the binned store."""
 
 from __future__ import annotations
 
@@ -8,15 +8,15 @@ from math import sqrt
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabmill.runtime import ident, quoted
+from tabmill.trees.boosting import gradient_boosting, histogram_boosting, leafwise_boosting, symmetric_boosting
+from tabmill.trees.forest import random_forest
 
 LABEL, FEATURES, PREDICTION = "label", "features", "prediction"
-# Spark trees go no deeper; it stands for unlimited depth.
-MAX_DEPTH = 30
 
 
 @dataclass(frozen=True)
@@ -57,21 +57,6 @@ def lasso(shape: LabelShape, alpha: float = 1.0, max_iter: int = 200) -> LinearR
     )
 
 
-def forest(trees: int = 100, depth: int | None = None, leaf: int = 1, share: str = "1.0", seed: int = 42) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, maxDepth=MAX_DEPTH if depth is None else depth,
-        minInstancesPerNode=leaf, featureSubsetStrategy=share, seed=seed, maxMemoryInMB=1024,
-        cacheNodeIds=True, checkpointInterval=10,
-    )
-
-
-def boosting(rounds: int = 100, rate: float = 0.1, depth: int = 3, leaf: int = 1, bins: int = 32, seed: int = 42) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, stepSize=rate, maxDepth=depth,
-        minInstancesPerNode=leaf, maxBins=bins, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
-    )
-
-
 @dataclass(frozen=True)
 class ModelSpec:
     """A named estimator; linear ones take standardised features."""
@@ -81,33 +66,65 @@ class ModelSpec:
     scaled: bool = False
 
 
-def small_models(trees: int = 100, depth: int | None = None) -> list[ModelSpec]:
-    """Linear models and plain ensembles; `trees` and `depth` shrink them for trials."""
+@dataclass(frozen=True)
+class TreeSpec:
+    """A named tree model over the binned store; `fit` takes the prepared data and the settings that differ."""
+
+    name: str
+    fit: Callable[..., object]
+    settings: Mapping[str, object]
+
+    def with_settings(self, settings: Mapping[str, object]) -> TreeSpec:
+        return TreeSpec(self.name, self.fit, {**self.settings, **settings})
+
+
+def small_models(trees: int = 100) -> list[ModelSpec | TreeSpec]:
+    """Linear models on filled and scaled features, and plain ensembles over the binned store."""
     return [
         ModelSpec("Linear Regression", lambda s: least_squares(), True),
         ModelSpec("Ridge", lambda s: ridge(s), True),
         ModelSpec("Lasso", lambda s: lasso(s), True),
-        ModelSpec("Random Forest", lambda s: forest(trees, depth)),
-        ModelSpec("Gradient Boosting", lambda s: boosting(trees)),
+        TreeSpec("Random Forest", fit_forest, {"trees": trees}),
+        TreeSpec("Gradient Boosting", fit_gradient, {"rounds": trees}),
     ]
 
 
-def large_models(rounds: int = 200, trees: int = 100, depth_limit: int = MAX_DEPTH) -> list[ModelSpec]:
-    """Boosting variants and a bounded forest.
+def large_models(rounds: int = 200, trees: int = 100) -> list[TreeSpec]:
+    """Boosting variants and a bounded forest over one binned store.
 
-    MLlib grows trees level by level. The leaf-wise variant is approximated by
-    the depth that allows about as many leaves (2^6 for 63), the symmetric one
-    by its depth.
+    Leaf-wise trees split categories by sets of values, symmetric ones see
+    their ordered target statistics, the others take categories as numbers in
+    the order of their names.
     """
-    cap = lambda d: min(d, depth_limit)
     return [
-        ModelSpec("Histogram Boosting", lambda s: boosting(rounds, 0.1, cap(10), leaf=20, bins=255)),
-        ModelSpec("Leaf-wise Boosting", lambda s: boosting(rounds, 0.1, cap(6), leaf=20, bins=255)),
-        ModelSpec("Symmetric Boosting", lambda s: boosting(rounds, 0.1, cap(8), bins=254)),
-        ModelSpec("Random Forest", lambda s: forest(trees, cap(15), 10, "0.5")),
+        TreeSpec("Histogram Boosting", fit_histogram, {"rounds": rounds, "rate": 0.1, "leaves": 31, "depth": 10, "min_rows": 20}),
+        TreeSpec("Leaf-wise Boosting", fit_leafwise, {"rounds": rounds, "rate": 0.1, "leaves": 63, "depth": 10, "min_rows": 20}),
+        TreeSpec("Symmetric Boosting", fit_symmetric, {"rounds": rounds, "rate": 0.1, "depth": 8, "l2": 3.0}),
+        TreeSpec("Random Forest", fit_forest, {"trees": trees, "depth": 15, "min_split": 20, "min_rows": 10, "share": 0.5}),
     ]
 
 
+def fit_histogram(data, fold: tuple[int, int] | None = None, **settings):
+    return histogram_boosting(data.store(), used=data.plain, fold=fold, **({"early": False} if fold else {}), **settings)
+
+
+def fit_leafwise(data, fold: tuple[int, int] | None = None, **settings):
+    return leafwise_boosting(data.store(), categories=data.categories, used=data.plain, fold=fold, **settings)
+
+
+def fit_symmetric(data, fold: tuple[int, int] | None = None, **settings):
+    store = data.store()
+    return data.encoded(symmetric_boosting(store, used=[*data.numbers, *data.statistics], fold=fold, **settings))
+
+
+def fit_gradient(data, fold: tuple[int, int] | None = None, **settings):
+    return gradient_boosting(data.store(), used=data.plain, fold=fold, **settings)
+
+
+def fit_forest(data, fold: tuple[int, int] | None = None, **settings):
+    return random_forest(data.store(), used=data.plain, fold=fold, **settings)
+
+
 def assembled(fill: Mapping[str, float], features: Sequence[str], estimator: Estimator, scaled: bool) -> Pipeline:
     """Fill, assemble, scale and model in one pipeline.
 

@@ -19,16 +19,60 @@ from tabmill.operators.impute import fit_fill, fill_values
 from tabmill.operators.quantiles import medians
 from tabmill.operators.split import SPLIT, TEST, TRAIN, parts, random_split, stratified_split
 from tabmill.plans import tune
-from tabmill.plans.models import LABEL, PREDICTION, ModelSpec, assembled, label_shape
+from tabmill.plans.models import LABEL, PREDICTION, ModelSpec, TreeSpec, assembled, label_shape
 from tabmill.runtime import staged
+from tabmill.trees.boosting import Boosted, CategoryColumn, EncodedModel, Store
+from tabmill.trees.store import binned, category_table, fit_bins, ordered_statistics, with_category
 
 
 @dataclass
 class TrainingData:
+    """Train and test rows; features are numbers (with their medians) and, if kept as they are, categories."""
+
     train: DataFrame
     test: DataFrame
     features: list[str]
     fill: dict[str, float | None]
+    keys: list[str] = field(default_factory=list)
+    categories: list[str] = field(default_factory=list)
+    folder: str | None = None
+    _store: Store | None = None
+    _columns: list[CategoryColumn] = field(default_factory=list)
+
+    @property
+    def numbers(self) -> list[str]:
+        return [f for f in self.features if f not in self.categories]
+
+    @property
+    def plain(self) -> list[str]:
+        return [*self.numbers, *self.categories]
+
+    @property
+    def statistics(self) -> list[str]:
+        """Columns of the store that hold a number for each category."""
+        return [c.name for c in self._columns]
+
+    def store(self) -> Store:
+        """Both parts binned, written once for all models; the edges come from the train part."""
+        if self._store is None:
+            train, test = self.train, self.test
+            prior = train.agg(F.avg(LABEL)).first()[0] or 0.0
+            for c in self.categories:
+                name = next(n for n in (f"{c}_stat{'_' * k}" for k in range(99)) if n not in self.train.columns)
+                table = staged(category_table(self.train, c, LABEL, prior), "category-values", self.folder)
+                train = ordered_statistics(train, c, LABEL, self.keys, prior, name=name)
+                test = with_category(test, c, table, prior, name)
+                self._columns.append(CategoryColumn(name, c, prior, table))
+            if self.categories:
+                train = staged(train, "train-categories", self.folder)
+            spec = fit_bins(train, [*self.numbers, *self.statistics], self.categories)
+            both = train.withColumn(SPLIT, F.lit(TRAIN)).unionByName(test.withColumn(SPLIT, F.lit(TEST)))
+            self._store = Store(binned(both, spec, LABEL, self.keys, F.col(SPLIT), self.folder), spec)
+        return self._store
+
+    def encoded(self, model: Boosted) -> Boosted | EncodedModel:
+        """A model over category numbers, with what new rows need to get theirs."""
+        return EncodedModel(model, self._columns) if self._columns else model
 
 
 @dataclass
@@ -37,7 +81,7 @@ class Comparison:
 
     metrics: DataFrame
     rows: list[dict]
-    models: dict[str, PipelineModel]
+    models: dict[str, object]
     settings: dict[str, dict] = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
 
@@ -54,19 +98,23 @@ def prepare(
     deduplicate: bool = True,
     folder: str | None = None,
     seed: int = 42,
+    native: bool = False,
 ) -> TrainingData:
     """Matrix to train and test tables without shared feature rows.
 
     Rows without a target go; text columns become ordinal numbers; nulls take
-    table medians. Copies inside each part are dropped, then test rows whose
+    table medians. With `native` texts stay categories and nulls stay nulls,
+    which only tree models take. Copies inside each part are dropped, then test rows whose
     features occur in train. The two parts are written once and reread by
     every model.
     """
     features, target = split_target(df, target)
     features = [f for f in features if f not in keys]
     df = keep_not_null(df, [target])
-    df = fill_values(df, fit_fill(df, features, "unknown"))
-    for name in [n for n in text_columns(df) if n in features]:
+    categories = [n for n in text_columns(df) if n in features] if native else []
+    if not native:
+        df = fill_values(df, fit_fill(df, features, "unknown"))
+    for name in [n for n in text_columns(df) if n in features and not native]:
         labelled = apply_labels(df, name, fit_labels(df, name))
         df = labelled.drop(name).withColumnRenamed(f"{name}_label", name)
     split = stratified_split(df, keys, target, seed=seed).drop("stratum") if stratified else random_split(df, keys, seed=seed)
@@ -80,15 +128,17 @@ def prepare(
         train = staged(train, "train", folder)
     test = staged(test, "test", folder)
     numbers = [n for n in numeric_columns(train) if n in features]
-    return TrainingData(train, test, numbers, medians(train, numbers))
+    return TrainingData(train, test, [*numbers, *categories], {} if native else medians(train, numbers), list(keys), categories, folder)
 
 
-def _evaluated(model: PipelineModel, data: TrainingData) -> dict:
-    """All metrics of both parts from one pass over the predictions."""
+def _predicted(model: PipelineModel, data: TrainingData) -> DataFrame:
     both = data.train.withColumn(SPLIT, F.lit(TRAIN)).unionByName(data.test.withColumn(SPLIT, F.lit(TEST)))
-    scored = model.transform(both).select(
-        SPLIT, LABEL, PREDICTION, F.expm1(LABEL).alias("y"), F.expm1(PREDICTION).alias("p")
-    )
+    return model.transform(both)
+
+
+def _evaluated(predictions: DataFrame) -> dict:
+    """All metrics of both parts from one pass over the predictions."""
+    scored = predictions.select(SPLIT, LABEL, PREDICTION, F.expm1(LABEL).alias("y"), F.expm1(PREDICTION).alias("p"))
     ranged = scored.withColumn("range_id", F.coalesce(M.range_index(F.col("y"), M.PRICE_RANGES), F.lit(-1)))
     y, p = F.col("y"), F.col("p")
     found = (
@@ -120,8 +170,16 @@ def _evaluated(model: PipelineModel, data: TrainingData) -> dict:
     return out
 
 
-def compare(data: TrainingData, specs: Sequence[ModelSpec]) -> Comparison:
-    """Fit and measure each model on the same cached tables.
+def _fitted(spec: ModelSpec | TreeSpec, data: TrainingData, held: TrainingData, shape) -> tuple[object, dict]:
+    if isinstance(spec, TreeSpec):
+        model = spec.fit(data, **spec.settings)
+        return model, _evaluated(model.scored(data.store()))
+    model = assembled(data.fill, data.features, spec.build(shape), spec.scaled).fit(held.train)
+    return model, _evaluated(_predicted(model, held))
+
+
+def compare(data: TrainingData, specs: Sequence[ModelSpec | TreeSpec]) -> Comparison:
+    """Fit and measure each model on the same cached tables, tree models on the binned store.
 
     A model that fails is reported and passed over; none at all is an error.
     """
@@ -136,8 +194,7 @@ def compare(data: TrainingData, specs: Sequence[ModelSpec]) -> Comparison:
         for spec in specs:
             start = time.monotonic()
             try:
-                model = assembled(data.fill, data.features, spec.build(shape), spec.scaled).fit(held.train)
-                row = _evaluated(model, held)
+                model, row = _fitted(spec, data, held, shape)
             except Exception as error:  # noqa: BLE001 - a failing model must not end the comparison
                 failures[spec.name] = str(error)
                 continue
@@ -160,23 +217,27 @@ def metrics_table(spark, rows: Sequence[Mapping]) -> DataFrame:
 
 def tune_model(
     data: TrainingData,
-    spec: ModelSpec,
+    spec: ModelSpec | TreeSpec,
     settings: Sequence[Mapping],
     folds: int,
     parallelism: int = 2,
-) -> tuple[PipelineModel, dict, dict]:
+) -> tuple[object, dict, dict]:
     """Cross-validated search: best model, its settings, and its metrics row."""
     start = time.monotonic()
+    if isinstance(spec, TreeSpec):
+        chosen, _ = tune.tree_search(data, spec, settings, folds)
+        model, row = _fitted(spec.with_settings(chosen), data, data, None)
+        return model, chosen, {"model": f"{spec.name} (tuned)", **row, "seconds": time.monotonic() - start}
     pipeline = assembled(data.fill, data.features, spec.build(label_shape(data.train)), spec.scaled)
     searched = tune.cross_validator(pipeline, settings, folds, parallelism).fit(data.train)
     chosen, _ = tune.best_settings(searched, settings)
-    row = {"model": f"{spec.name} (tuned)", **_evaluated(searched.bestModel, data), "seconds": time.monotonic() - start}
+    row = {"model": f"{spec.name} (tuned)", **_evaluated(_predicted(searched.bestModel, data)), "seconds": time.monotonic() - start}
     return searched.bestModel, chosen, row
 
 
 def compare_and_tune(
     data: TrainingData,
-    specs: Sequence[ModelSpec],
+    specs: Sequence[ModelSpec | TreeSpec],
     searches: Mapping[str, Sequence[Mapping]],
     folds: int,
     parallelism: int = 2,

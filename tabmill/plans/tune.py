@@ -11,25 +11,20 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 
-from tabmill.plans.models import LABEL, MAX_DEPTH, PREDICTION
+from tabmill.plans.models import LABEL, PREDICTION, TreeSpec
 
 Grid = Mapping[str, Sequence]
 
-# Search grids. A setting without an MLlib counterpart (rows
-# needed to split, l2 of leaves) is left out of its grid.
-FOREST_GRID: Grid = {"numTrees": [100, 200], "maxDepth": [10, 20, MAX_DEPTH], "minInstancesPerNode": [1, 2]}
-BOOSTING_GRID: Grid = {"maxIter": [100, 200], "stepSize": [0.05, 0.1], "maxDepth": [3, 5]}
+# Search grids; no depth means unlimited.
+FOREST_GRID: Grid = {"trees": [100, 200], "depth": [10, 20, None], "min_split": [2, 5], "min_rows": [1, 2]}
+BOOSTING_GRID: Grid = {"rounds": [100, 200], "rate": [0.05, 0.1], "depth": [3, 5], "min_split": [2, 5]}
 
-# Grids of the random searches and their number of draws. Leaf
-# counts 31, 63, 127 read as depths 5, 6, 7.
+# Grids of the random searches and their number of draws.
 RANDOM_GRIDS: dict[str, tuple[Grid, int]] = {
-    "Leaf-wise Boosting": ({"maxIter": [100, 200, 300], "stepSize": [0.05, 0.1, 0.15], "maxDepth": [5, 6, 7]}, 10),
-    "Symmetric Boosting": ({"maxIter": [200, 300, 400], "stepSize": [0.05, 0.1, 0.15], "maxDepth": [6, 8, 10]}, 8),
-    "Histogram Boosting": (
-        {"maxIter": [200, 300, 400], "stepSize": [0.05, 0.1, 0.15], "maxDepth": [8, 10, 12], "minInstancesPerNode": [10, 20, 30]},
-        8,
-    ),
-    "Random Forest": ({"numTrees": [100, 150, 200], "maxDepth": [10, 15, 20], "featureSubsetStrategy": ["0.4", "0.5", "0.6"]}, 8),
+    "Leaf-wise Boosting": ({"rounds": [100, 200, 300], "rate": [0.05, 0.1, 0.15], "leaves": [31, 63, 127], "depth": [8, 10, 12]}, 10),
+    "Symmetric Boosting": ({"rounds": [200, 300, 400], "rate": [0.05, 0.1, 0.15], "depth": [6, 8, 10], "l2": [1, 3, 5]}, 8),
+    "Histogram Boosting": ({"rounds": [200, 300, 400], "rate": [0.05, 0.1, 0.15], "depth": [8, 10, 12], "min_rows": [10, 20, 30]}, 8),
+    "Random Forest": ({"trees": [100, 150, 200], "depth": [10, 15, 20], "min_split": [15, 20, 25], "share": [0.4, 0.5, 0.6]}, 8),
 }
 
 SMALL_GRIDS: dict[str, Grid] = {"Random Forest": FOREST_GRID, "Gradient Boosting": BOOSTING_GRID}
@@ -65,6 +60,19 @@ def cross_validator(
 
 def best_settings(model: CrossValidatorModel, settings: Sequence[Mapping]) -> tuple[dict, float]:
     """Setting with the smallest mean error over the folds, and that error."""
-    scores = model.avgMetrics
+    return _least(model.avgMetrics, settings)
+
+
+def _least(scores: Sequence[float], settings: Sequence[Mapping]) -> tuple[dict, float]:
     i = min(range(len(scores)), key=scores.__getitem__)
     return dict(settings[i]), scores[i]
+
+
+def tree_search(data, spec: TreeSpec, settings: Sequence[Mapping], folds: int) -> tuple[dict, float]:
+    """The same for a tree model: folds are by hash of the row key, and every fit reads the one binned store."""
+    scores = []
+    for s in settings:
+        chosen = spec.with_settings(s)
+        models = [chosen.fit(data, fold=(i, folds), **chosen.settings) for i in range(folds)]
+        scores.append(sum(m.fold_error(data.store(), (i, folds)) for i, m in enumerate(models)) / folds)
+    return _least(scores, settings)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from tabmill.runtime import ident, staged, with_package
-from tabmill.trees.growth import TRAIN, Fit, Part, Rules, Tree, leafwise, scan, symmetric
+from tabmill.trees.growth import TRAIN, Fit, Part, Rules, Tree, in_fold, leafwise, scan, symmetric
 from tabmill.trees.store import Bins, opened, with_category
 
 PREDICTION = "prediction"
@@ -55,6 +55,10 @@ class Boosted:
             out += self.rate * tree.predict(bins)
         return out
 
+    def split_features(self) -> set[int]:
+        """Features that some tree splits; a table needs no others to be scored."""
+        return {f for t in self.trees for f in t.feature[t.child[:, 0] != np.arange(len(t.child))].tolist()}
+
     def scored(self, store: Store) -> DataFrame:
         """(split, label, prediction) of every row of the store."""
         features, values = len(self.bins.features), self.values
@@ -67,9 +71,25 @@ class Boosted:
 
         return with_package(store.df).mapInArrow(run, f"split string, label double, {PREDICTION} double")
 
+    def fold_error(self, store: Store, fold: tuple[int, int], seed: int = 42) -> float:
+        """Mean squared error over the train rows of a fold, summed on a grid of 2^-30."""
+        features, values = len(self.bins.features), self.values
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    y, hashes, bins = opened(row, features)
+                    mine = in_fold(hashes, fold, seed)
+                    off = y[mine] - values(bins[:, mine])
+                    yield pa.record_batch([pa.array([int(np.rint(off * off * (1 << 30)).sum())]), pa.array([int(mine.sum())])], names=["error", "n"])
+
+        total, n = with_package(store.part()).mapInArrow(run, "error long, n long").agg(F.sum(F.col("error").cast("decimal(38,0)")), F.sum("n")).first()
+        return float(total) / (1 << 30) / n if n else float("inf")
+
     def transform(self, df: DataFrame) -> DataFrame:
         """`df` with the prediction; its features are binned on the way, missing and unseen values too."""
-        inputs = self.bins.columns()
+        tried = self.split_features()
+        inputs = [c if i in tried else F.lit(None).cast("string" if f.values is not None else "double").alias(f"x{i}") for i, (f, c) in enumerate(zip(self.bins.features, self.bins.columns()))]
         given, n = df.columns, len(df.columns)
         model = self
 
@@ -94,7 +114,8 @@ class Boosted:
                 masks.append(tree.left_bins(first)[: sizes[f]].tolist())
                 first = 2 * first + 1
             table.append((features, masks, tree.value[first:].tolist()))
-        row = F.array(*[f.bin_column().cast("int") for f in self.bins.features])
+        tried = self.split_features()
+        row = F.array(*[f.bin_column().cast("int") if i in tried else F.lit(0) for i, f in enumerate(self.bins.features)])
         kind = "array<struct<features:array<int>,masks:array<array<boolean>>,values:array<double>>>"
         trees = F.from_json(F.lit(json.dumps([{"features": a, "masks": b, "values": c} for a, b, c in table])), kind)
 
@@ -143,6 +164,9 @@ class EncodedModel:
     def scored(self, store: Store) -> DataFrame:
         return self.model.scored(store)
 
+    def fold_error(self, store: Store, fold: tuple[int, int], seed: int = 42) -> float:
+        return self.model.fold_error(store, fold, seed)
+
     def transform(self, df: DataFrame) -> DataFrame:
         wide = df
         for c in self.columns:
@@ -255,6 +279,12 @@ def leafwise_boosting(store: Store, rounds: int = 200, rate: float = 0.1, leaves
     return boosted(store, rules, lambda part, fit, root: leafwise(part, fit, leaves, depth, root)[0], rounds, rate, holdout, fold=fold, folder=folder)
 
 
+def gradient_boosting(store: Store, rounds: int = 100, rate: float = 0.1, depth: int = 3, min_split: int = 2, used: Sequence[str] | None = None, fold: tuple[int, int] | None = None, folder: str | None = None) -> Boosted:
+    """Trees of one depth: with room for all leaves, best-first growth splits every node that can be split."""
+    rules = store.rules((), used, min_rows=1, min_split=min_split)
+    return boosted(store, rules, lambda part, fit, root: leafwise(part, fit, 1 << depth, depth, root)[0], rounds, rate, fold=fold, folder=folder)
+
+
 # Fixed value: rows from which on a tenth is held out and training may end early.
 EARLY_ROWS = 10_000
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from math import exp, factorial
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tabmill.runtime import with_package
 from tabmill.trees.boosting import Boosted, Store, _limits, residual_grid
-from tabmill.trees.growth import Rules, Split, Tree, _added, best_split
+from tabmill.trees.growth import Rules, Split, Tree, _added, best_split, in_fold
 from tabmill.trees.store import opened
 
 # Rows of a node that one task grows to the end.
@@ -67,7 +67,7 @@ class ForestRules:
             rng = np.random.default_rng([self.seed, tree, len(path), *np.frombuffer(path.encode(), np.uint8).tolist()])
             every = np.sort(rng.choice(every, n, replace=False))
         r = self.rules
-        return Rules(r.sizes, r.categorical, r.min_rows, r.l2, r.min_gain, r.smooth, tuple(every.tolist()))
+        return replace(r, used=tuple(every.tolist()))
 
     def split(self, hist: np.ndarray, tree: int, path: str) -> Split | None:
         rules = self.at(tree, path)
@@ -76,9 +76,7 @@ class ForestRules:
         return best_split(hist, rules, self.scale)
 
     def kept(self, hashes: np.ndarray) -> np.ndarray:
-        if self.fold is None:
-            return np.ones(len(hashes), bool)
-        return _mix(hashes, self.seed + 7) % np.uint64(self.fold[1]) != np.uint64(self.fold[0])
+        return np.ones(len(hashes), bool) if self.fold is None else ~in_fold(hashes, self.fold, self.seed)
 
     def histogram(self, r: np.ndarray, w: np.ndarray, bins: np.ndarray) -> np.ndarray:
         offsets = self.rules.offsets

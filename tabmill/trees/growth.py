@@ -109,6 +109,7 @@ class Rules:
     sizes: tuple[int, ...]
     categorical: frozenset[int] = frozenset()
     min_rows: int = 20
+    min_split: int = 0  # rows that a node needs to be split
     l2: float = 0.0
     min_gain: float = 0.0
     smooth: float = 10.0  # rows added to a category before its mean residual orders it
@@ -164,6 +165,8 @@ def best_split(hist: np.ndarray, rules: Rules, scale: float) -> Split | None:
     best: Split | None = None
     offsets = rules.offsets
     total_g, total_n = rules.totals(hist)
+    if total_n < rules.min_split:
+        return None
     parent = float(_side(np.array(total_g / scale), np.array(float(total_n)), rules.l2))
     for f in rules.features:
         g, n = hist[:, offsets[f] : offsets[f + 1]]
@@ -214,6 +217,12 @@ def goes(split: Split | tuple, hist: np.ndarray, rules: Rules) -> tuple[tuple[in
     return a, (int(g.sum()) - a[0], int(n.sum()) - a[1])
 
 
+def in_fold(hashes: np.ndarray, fold: tuple[int, int], seed: int) -> np.ndarray:
+    """Whether the row of each hash belongs to the fold (number, folds)."""
+    mixed = (hashes ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(32)) % np.uint64(fold[1]) == np.uint64(fold[0])
+
+
 # Passes
 
 
@@ -231,7 +240,7 @@ class Fit:
     trees: list[Tree] = field(default_factory=list)
     growing: Tree | None = None
     slots: dict[int, int] = field(default_factory=dict)
-    holdout: int = 0  # of 1000 rows of the train part, those kept out to measure the error
+    holdout: int = 0  # of 1000 rows of the train part, those kept out to measure the error; a divisor of 1000
     fold: tuple[int, int] | None = None  # (number, folds): the rows of this fold are kept out instead
     seed: int = 42
 
@@ -242,11 +251,9 @@ class Fit:
         return out
 
     def held_out(self, hashes: np.ndarray) -> np.ndarray:
-        mixed = (hashes ^ np.uint64(self.seed)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed >>= np.uint64(32)
         if self.fold is not None:
-            return mixed % np.uint64(self.fold[1]) == np.uint64(self.fold[0])
-        return mixed % np.uint64(1000) < np.uint64(self.holdout)
+            return in_fold(hashes, self.fold, self.seed)
+        return in_fold(hashes, (0, 1000 // self.holdout), self.seed) if self.holdout else np.zeros(len(hashes), bool)
 
 
 def _base(row: dict) -> np.ndarray | None:

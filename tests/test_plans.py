@@ -111,10 +111,10 @@ def test_compare_tune_save_and_score(spark, tmp_path):
         raise RuntimeError("no such model")
 
     specs = [
-        A.ModelSpec("Boosting", lambda s: A.boosting(3, 0.3, 3)), A.ModelSpec("Linear", lambda s: A.least_squares(), True),
+        A.TreeSpec("Boosting", A.fit_gradient, {"rounds": 3, "rate": 0.3}), A.ModelSpec("Linear", lambda s: A.least_squares(), True),
         A.ModelSpec("Broken", broken),
     ]
-    grids = {"Boosting": tune.drawn({"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, 2), "Linear": [{"regParam": 0.0}, {"regParam": 0.1}]}
+    grids = {"Boosting": tune.drawn({"depth": [2, 4], "rate": [0.1, 0.3]}, 2), "Linear": [{"regParam": 0.0}, {"regParam": 0.1}]}
     found = R.compare_and_tune(data, specs, grids, folds=2)
     assert set(found.failures) == {"Broken"}
     assert found.metrics.count() == 3 and len([m for m in found.models if m.endswith("(tuned)")]) == 1
@@ -129,7 +129,37 @@ def test_compare_tune_save_and_score(spark, tmp_path):
 
 
 def test_grids():
-    assert len(tune.combinations(tune.FOREST_GRID)) == 12 and len(tune.combinations(tune.BOOSTING_GRID)) == 8
+    assert len(tune.combinations(tune.FOREST_GRID)) == 24 and len(tune.combinations(tune.BOOSTING_GRID)) == 16
     for grid, n in tune.RANDOM_GRIDS.values():
         draws = tune.drawn(grid, n)
         assert len(draws) == n and draws == tune.drawn(grid, n)
+
+
+def test_large_models_on_native_columns(spark, tmp_path):
+    """Nulls and categories as they are; every model scores new rows and survives saving."""
+    i = F.col("id")
+    matrix = spark.range(900).select(
+        "id", (i * 7919 % 211).cast("double").alias("a"), F.when(i % 5 != 3, (i * 31 % 17).cast("double")).alias("b"),
+        F.when(i % 11 != 0, F.format_string("k%d", i % 13)).alias("kind"),
+        F.log1p(20000.0 + i * 7919 % 211 * 900 + F.when(i % 5 == 3, 300_000).otherwise(0) + i % 13 * 40_000).alias("price_log"))
+    data = R.prepare(matrix, "price_log", ["id"], folder=str(tmp_path / "parts"), native=True, deduplicate=False)
+    assert data.categories == ["kind"] and data.fill == {}
+    found = R.compare(data, [m.with_settings({"rounds": 12, "rate": 0.3} if "Boosting" in m.name else {"trees": 12}) for m in A.large_models()])
+    assert not found.failures and len(found.rows) == 4
+    assert all(r["test_r2"] > 0.6 for r in found.rows), found.rows
+    new = data.test.drop("label").unionByName(spark.createDataFrame([(-5, None, None, "new")], "id long, a double, b double, kind string"))
+    for name, model in found.models.items():
+        path = str(tmp_path / name.replace(" ", "-"))
+        save_model(model, path)
+        a, b = ({r["id"]: r["price"] for r in score_batch(m, new).collect()} for m in (model, load_model(path)))
+        assert a == b and len(a) == new.count()
+
+
+def test_tree_search_reads_one_store(spark, tmp_path):
+    i = F.col("id")
+    matrix = spark.range(400).select("id", (i % 40).cast("double").alias("a"), (i * 13 % 7).cast("double").alias("b"), F.log1p(1000.0 + i % 40 * 500 + i * 13 % 7).alias("price_log"))
+    data = R.prepare(matrix, "price_log", ["id"], folder=str(tmp_path), native=True, deduplicate=False)
+    spec = next(m for m in A.large_models() if m.name == "Leaf-wise Boosting")
+    chosen, error = tune.tree_search(data, spec.with_settings({"min_rows": 5}), [{"rounds": 1}, {"rounds": 8}], 2)
+    assert chosen == {"rounds": 8} and 0 < error < 1
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("binned")]) == 1
