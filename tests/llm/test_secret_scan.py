@@ -2,8 +2,11 @@
 
 import hashlib
 import re
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tabmill.llm import secret_scan as s
 
@@ -85,3 +88,58 @@ def test_hidden_values_and_other_columns(rows):
 )
 def test_forms_of_assignment(text, want):
     assert [text[x.start : x.end] for x in s.spans(text) if x.kind == "literal"] == want
+
+
+@pytest.mark.parametrize("text", [
+    "pwd = '''q9W8e7R6t5Y4'''", 'db_pwd = """q9W8e7R6t5Y4"""', "dbPwd := `q9W8e7R6t5Y4`", 'auth_key = "q9W8e7" "R6t5Y4"', '<add key="DbPassword" value="q9W8e7R6t5Y4"/>',
+    '{"name": "DB_PWD", "value": "q9W8e7R6t5Y4"}', "- name: DB_PWD\n  value: q9W8e7R6t5Y4", "pwd = '''q9W8/\ne7R6\nt5Y4'''", "x = 'q9W8e7R6t5Y4'\ny = x + x\npwd = y",
+])
+def test_more_forms_of_assignment(text):
+    hidden = s.masked(text, s.spans(text))
+    assert not re.search("q9W8|R6t5|t5Y4", hidden)
+
+
+@pytest.mark.parametrize("text", ['<add key="Title" value="q9W8e7R6t5Y4"/>', '{"name": "title", "value": "q9W8e7R6t5Y4"}', 'say = "your" "password" "here"', "`pwd` = `changeme`"])
+def test_forms_that_hold_no_secret(text):
+    assert s.spans(text) == []
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ("token = 'abcdefgh1Z'\n" + "token = token + token\n" * 60, 1),
+    ("a = 'abcdefgh1Z'\n" + "".join(f"b{i} = [a, a]\na = [b{i}, b{i}]\n" for i in range(60)) + "auth_token = a", 1),
+    ("x = \"q9W8e7R6t5Y4\"\nx = x\n" * 200 + "pwd = x", 1),
+    ("- b:\n" * 20_000, 0), ("x = " + '\\"a' * 30_000, 0), ("a=(" * 20_000, 0), ('"""' * 20_001, 0),
+])
+def test_time_follows_the_length(text, found):
+    start = time.monotonic()
+    assert len(s.spans(text)) == found
+    assert time.monotonic() - start < 3
+
+
+def slow_scores(text):
+    """Literals of `name = literal`, `name = name` and sums of both, one assignment a line, by copied strings."""
+    known, out = {}, {}
+    for m in re.finditer(r"(?m)^(\w+) = (.+)$", text):
+        parts, pieces = [], []
+        for item in re.finditer(r"'([^'\n]*)'|(\w+)", m[2]):
+            if item[2] in known:
+                parts += known[item[2]][0]
+                pieces.append(known[item[2]][1])
+            else:
+                group = 2 if item[2] else 1
+                parts.append((m.start(2) + item.start(group), m.start(2) + item.end(group)))
+                pieces.append(item[group])
+        known[m[1]] = parts, "".join(pieces)
+        for place in parts if s.name_score(m[1]) else ():
+            out[place] = max(out.get(place, 0), s.name_score(m[1]) * s.literal_score("".join(pieces), "phrase" in m[1]))
+    return out
+
+
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "user_token", "pwd", "c"]), st.lists(st.sampled_from(["'k9Zq'", "'x'", "'your'", "'Long8Literal'", "a", "b", "pwd", "word"]), min_size=1, max_size=3)), max_size=12))
+@settings(max_examples=150, deadline=None)
+def test_scores_equal_copied_strings(lines):
+    text = "\n".join(f"{name} = {' + '.join(parts)}" for name, parts in lines)
+    want = {k: v for k, v in slow_scores(text).items()}
+    got = s.literals(text)
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want), text
