@@ -151,15 +151,14 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(path or tokenizer_path(name))
         for batch in batches:
-            rows = batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for at in range(0, batch.num_rows, 500):
                 out = []
-                part = [x[at : at + 500] for x in rows]
+                part = [c.to_pylist() for c in batch.slice(at, 500).columns]
                 for row, doc, ids in zip(part[0], part[1], ids_of([t or "" for t in part[2]])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         cut = ids[start : start + capacity]
-                        out.append((int(row), doc, k, start, len(cut), zlib.crc32(cut.tobytes()), cut if with_ids else None))
+                        out.append((row, doc, k, start, len(cut), zlib.crc32(cut.tobytes()), cut if with_ids else None))
                 columns = list(zip(*out))
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
                 arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]

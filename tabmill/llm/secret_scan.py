@@ -450,7 +450,7 @@ def hide_secrets(docs: DataFrame) -> DataFrame:
     at, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 500) for whole in batches for k in range(0, whole.num_rows, 500)):
             texts, lengths = batch.column(at).to_pylist(), batch.column(length).to_pylist() if length is not None else None
             for k, text in enumerate(texts):
                 if text and (found := spans(text)):
