@@ -9,7 +9,7 @@ from tabmill.operators import metrics as M
 from tabmill.operators import profile as P
 from tabmill.operators.clusters import as_vectors, cluster_features, fit_components, fit_kmeans
 from tabmill.operators.scale import apply_scale, fit_scale
-from tabmill.operators.split import random_split, stratified_split
+from tabmill.operators.split import exact_split, exact_stratified_split, random_split, stratified_split
 from tabmill.plans import models as A
 from tabmill.plans import train as R
 from tabmill.plans import tune
@@ -31,7 +31,7 @@ def k01(spark, d):
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     lines, scale, vectors = scaled_lines(spark, d, names)
     held = vectors.persist()
-    centres = fit_kmeans(held, 4, starts=3)
+    centres = fit_kmeans(held, 4)
     held.unpersist()
     return cluster_features(lines, names, scale, centres, [], "line").groupBy("line_cluster").agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.avg("l_extendedprice"), 2).alias("mean_price")
@@ -72,6 +72,30 @@ def k04(spark, d):
     return stratified_split(orders, ["o_orderkey"], "o_totalprice").select("o_orderkey", "stratum", "split")
 
 
+HASH60 = "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|42'), 1, 15) AS BIGINT)"
+
+
+@query(
+    "k03_split_exact",
+    f"""SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY {HASH60}, o_orderkey) <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM orders""",
+)
+def k03_exact(spark, d):
+    return exact_split(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"])
+
+
+@query(
+    "k04_split_stratified_exact",
+    f"""WITH e AS (SELECT quantile_cont(o_totalprice, 0.25) AS a, quantile_cont(o_totalprice, 0.5) AS b, quantile_cont(o_totalprice, 0.75) AS c FROM orders),
+    s AS (SELECT o_orderkey, {HASH60} AS h, CAST(o_totalprice > a AS INTEGER) + CAST(o_totalprice > b AS INTEGER) + CAST(o_totalprice > c AS INTEGER) AS stratum FROM orders, e),
+    n AS (SELECT stratum, n, n * w / t AS exact, floor(n * w / t) AS low, w FROM (SELECT stratum, count(*) AS n, sum(count(*)) OVER () AS t, ceil(0.2 * sum(count(*)) OVER ()) AS w FROM s GROUP BY 1)),
+    k AS (SELECT stratum, low + CASE WHEN row_number() OVER (ORDER BY low - exact, stratum) <= w - sum(low) OVER () THEN 1 ELSE 0 END AS k FROM n)
+    SELECT o_orderkey, stratum, CASE WHEN row_number() OVER (PARTITION BY stratum ORDER BY h, o_orderkey) <= k THEN 'test' ELSE 'train' END AS split FROM s JOIN k USING (stratum)""",
+)
+def k04_exact(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return exact_stratified_split(orders, ["o_orderkey"], "o_totalprice").select("o_orderkey", "stratum", "split")
+
+
 def one_feature(spark, d):
     return table(spark, d, "lineitem").select(*LINE_KEYS, "l_quantity", F.col("l_extendedprice").alias("label"))
 

@@ -17,7 +17,7 @@ from tabmill.operators.dedup import distinct_features, not_in
 from tabmill.operators.encode import apply_labels, fit_labels
 from tabmill.operators.impute import fit_fill, fill_values
 from tabmill.operators.quantiles import medians
-from tabmill.operators.split import SPLIT, TEST, TRAIN, parts, random_split, stratified_split
+from tabmill.operators.split import SPLIT, TEST, TRAIN, exact_split, exact_stratified_split, parts
 from tabmill.plans import tune
 from tabmill.plans.models import LABEL, PREDICTION, ModelSpec, TreeSpec, assembled, label_shape
 from tabmill.runtime import staged
@@ -117,7 +117,7 @@ def prepare(
     for name in [n for n in text_columns(df) if n in features and not native]:
         labelled = apply_labels(df, name, fit_labels(df, name))
         df = labelled.drop(name).withColumnRenamed(f"{name}_label", name)
-    split = stratified_split(df, keys, target, seed=seed).drop("stratum") if stratified else random_split(df, keys, seed=seed)
+    split = exact_stratified_split(df, keys, target, seed=seed).drop("stratum") if stratified else exact_split(df, keys, seed=seed)
     train, test = parts(split.withColumnRenamed(target, LABEL))
     if deduplicate:
         train = distinct_features(train, features, keys)

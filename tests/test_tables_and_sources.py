@@ -1,3 +1,5 @@
+import gzip
+
 from pyspark.sql import functions as F
 
 from tabmill.operators import dedup as D
@@ -125,3 +127,34 @@ def test_histogram_counts_every_error(rows):
     df = rows([(0.0, float(i)) for i in range(101)], "y double, p double")
     out = M.error_histogram(df, "y", "p").collect()
     assert len(out) == 50 and sum(r["n"] for r in out) == 101
+
+
+def test_one_broken_file_does_not_end_the_folder(spark, tmp_path):
+    good = "seller|price\n" + "\n".join(f"s{i}|{i}" for i in range(3000)) + "\n"
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(good)
+    (folder / "undecodable.csv").write_bytes(good.encode() + b"caf\xe9|1\n")
+    (folder / "wide.csv").write_text(good + "s|1|2\n")
+    (folder / "quoted.csv").write_text('seller|price\n"a|b"|1\nshort\n')
+    (folder / "empty.csv").write_text("")
+    (folder / "other.csv").write_text("x|y\n1|2\n")
+    found = scan_folder(spark, str(folder), ["seller"])
+    status = {r["source_file"]: r["status"] for r in found.report.collect()}
+    assert {k: v for k, v in status.items() if k != "empty.csv"} == {"a.csv": "read", "undecodable.csv": "undecodable", "wide.csv": "too many fields", "quoted.csv": "read", "other.csv": "missing columns"}
+    assert {r["source_file"]: r["count"] for r in found.rows.groupBy("source_file").count().collect()} == {"a.csv": 3000, "quoted.csv": 2}
+    relaxed = {r["source_file"]: r["status"] for r in scan_folder(spark, str(folder), ["seller"], strict=False).report.collect()}
+    assert relaxed["wide.csv"] == "read"
+
+
+def test_truncated_archives_are_listed(spark, tmp_path):
+    whole = gzip.compress("".join(["seller|price\n", *(f"s{i}|{i * 7919 % 1000}\n" for i in range(20000))]).encode())
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv.gz").write_bytes(whole)
+    (folder / "two.csv.gz").write_bytes(whole + gzip.compress(b"s|1\n"))
+    (folder / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (folder / "noise.csv.gz").write_bytes(b"no archive at all")
+    found = scan_folder(spark, str(folder), ["seller"], pattern="*.csv.gz")
+    assert {r["source_file"]: r["status"] for r in found.report.collect()} == {"a.csv.gz": "read", "two.csv.gz": "read", "cut.csv.gz": "truncated", "noise.csv.gz": "truncated"}
+    assert found.rows.count() == 40001
