@@ -50,9 +50,12 @@ HEADLINE = [
     "j10_label_encode",
     "k02_pca",
     "k04_split_stratified",
+    "k04_split_stratified_exact",
     "k05_k12_a10_a11_linear_regression",
     "k05_k13_model_compare_small",
     "k08_k10_k11_k20_model_compare_large",
+    "k11_leafwise_trees",
+    "k20_symmetric_trees",
     "k18_l14_score_batch",
     "k19_feature_job",
     "l02_l03_metrics",

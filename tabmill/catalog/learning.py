@@ -191,6 +191,52 @@ def k18(spark, d):
     return with_error(score_batch(model, new), "actual")
 
 
+LINE_MOMENTS = """avg(l_quantity) AS mx, var_pop(l_quantity) AS vx, avg(ln(1 + l_extendedprice)) AS my, covar_pop(l_quantity, ln(1 + l_extendedprice)) AS cxy, count(*) AS n"""
+
+
+@query(
+    "k18_l14_linear_scores",
+    f"""WITH m AS (SELECT {LINE_MOMENTS} FROM lineitem),
+    p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, exp(my + (l_quantity - mx) * cxy / vx) - 1 AS p FROM lineitem, m)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round_even(p, 0) AS BIGINT) AS price, CAST(round_even(p - p * 0.15, 0) AS BIGINT) AS price_min,
+    CAST(round_even(p + p * 0.15, 0) AS BIGINT) AS price_max, round(abs(CAST(round_even(p, 0) AS BIGINT) - l_extendedprice), 2) AS abs_error FROM p""",
+)
+def k18_linear(spark, d):
+    lines = table(spark, d, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice")
+    model = A.assembled({}, ["l_quantity"], A.least_squares(), True).fit(lines.select("l_quantity", F.log1p("l_extendedprice").alias("label")))
+    return with_error(score_batch(model, lines), "l_extendedprice").select(*LINE_KEYS, "price", "price_min", "price_max", *rounded("abs_error", digits=2))
+
+
+LINE_HASH = "CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, 42)), 1, 15) AS BIGINT)"
+
+
+def _linear_metrics(name: str, shrink: str) -> str:
+    p = f"exp(my + (l_quantity - mx) * cxy / vx * {shrink}) - 1"
+    r2 = "1 - sum((y - p) ** 2) FILTER (part = '{0}') / (count(*) FILTER (part = '{0}') * var_pop(y) FILTER (part = '{0}'))"
+    return f"""SELECT '{name}' AS model, round({r2.format("train")}, 6) AS train_r2, round({r2.format("test")}, 6) AS test_r2, round({r2.format("train")} - ({r2.format("test")}), 6) AS r2_gap,
+    round(sqrt(avg((y - p) ** 2) FILTER (part = 'test')), 4) AS test_rmse, round(avg(abs(y - p)) FILTER (part = 'test'), 4) AS test_mae,
+    round(avg((ln(1 + y) - ln(1 + p)) ** 2) FILTER (part = 'test'), 6) AS mse_log, true AS timed
+    FROM (SELECT part, l_extendedprice AS y, {p} AS p FROM s, m)"""
+
+
+@query(
+    "k13_k17_l13_linear_compare",
+    f"""WITH h AS (SELECT l_quantity, l_extendedprice, {LINE_HASH} AS h FROM lineitem), k AS (SELECT max(h) AS k FROM (SELECT h, row_number() OVER (ORDER BY h) AS i, count(*) OVER () AS n FROM h) WHERE i <= ceil(0.2 * n)),
+    s AS (SELECT l_quantity, l_extendedprice, CASE WHEN h <= k THEN 'test' ELSE 'train' END AS part FROM h, k), m AS (SELECT {LINE_MOMENTS} FROM s WHERE part = 'train'),
+    r AS ({_linear_metrics("Linear Regression", "1")} UNION ALL {_linear_metrics("Ridge", "n / (n + 1)")})
+    SELECT *, test_rmse = min(test_rmse) OVER () AS chosen FROM r""",
+)
+def k13_linear(spark, d):
+    """Metrics of the linear models from a split of exact size, the time they took, and the one to save."""
+    lines = table(spark, d, "lineitem").select(*LINE_KEYS, "l_quantity", F.log1p("l_extendedprice").alias("price_log"))
+    data = R.prepare(lines, "price_log", LINE_KEYS, stratified=False, deduplicate=False)
+    found = R.compare(data, [m for m in A.small_models() if m.name in ("Linear Regression", "Ridge")])
+    best = found.metrics.agg(F.min(F.round("test_rmse", 4))).first()[0]
+    return found.metrics.select(
+        "model", *rounded("train_r2", "test_r2", "r2_gap"), *rounded("test_rmse", "test_mae", digits=4), *rounded("mse_log"),
+        (F.col("seconds") > 0).alias("timed"), (F.round("test_rmse", 4) == best).alias("chosen"))
+
+
 @query(
     "k18_price_band",
     """SELECT o_orderkey, CAST(round_even(p, 0) AS BIGINT) AS price, CAST(round_even(p * 0.15, 0) AS BIGINT) AS confidence_interval,
@@ -236,6 +282,18 @@ def l01(spark, d):
     return M.log_metrics(logged, "a", "b", ["split"]).select("split", *rounded("mse_log", "mae_log", digits=8))
 
 
+@query(
+    "a12_settings_of_best",
+    f"""SELECT arg_min(split, rmse) AS model_name, '{{"rows": ' || arg_min(rows, rmse) || ', "rmse": ' || arg_min(rmse, rmse) || '}}' AS hyperparameters FROM
+    (SELECT split, count(*) AS rows, CAST(round(sqrt(avg((y - p) ** 2))) AS BIGINT) AS rmse FROM ({PREDICTED}) GROUP BY split)""",
+)
+def a12(spark, d):
+    found = M.regression_metrics(predictions(spark, d), "y", "p", ["split"]).orderBy("rmse").first()
+    path = scratch(spark, "settings")
+    write_settings(spark, path, found["split"], {"rows": found["rows"], "rmse": round(found["rmse"])})
+    return spark.read.json(path).select("model_name", "hyperparameters")
+
+
 @query(
     "l04_gaps",
     f"""WITH m AS (SELECT split, 1 - sum((y - p) ** 2) / (count(*) * var_pop(y)) AS r2, avg(abs(y - p)) AS mae, sqrt(avg((y - p) ** 2)) AS rmse,

@@ -144,7 +144,7 @@ def test_large_models_on_native_columns(spark, tmp_path):
         F.log1p(20000.0 + i * 7919 % 211 * 900 + F.when(i % 5 == 3, 300_000).otherwise(0) + i % 13 * 40_000).alias("price_log"))
     data = R.prepare(matrix, "price_log", ["id"], folder=str(tmp_path / "parts"), native=True, deduplicate=False)
     assert data.categories == ["kind"] and data.fill == {}
-    found = R.compare(data, [m.with_settings({"rounds": 12, "rate": 0.3} if "Boosting" in m.name else {"trees": 12}) for m in A.large_models()])
+    found = R.compare(data, [m.with_settings({"rounds": 6, "rate": 0.5} if "Boosting" in m.name else {"trees": 8}) for m in A.large_models()])
     assert not found.failures and len(found.rows) == 4
     assert all(r["test_r2"] > 0.6 for r in found.rows), found.rows
     new = data.test.drop("label").unionByName(spark.createDataFrame([(-5, None, None, "new")], "id long, a double, b double, kind string"))
