@@ -454,6 +454,8 @@ def without_repeats(docs: DataFrame, range_bytes: int = RANGE_BYTES, block_bytes
     nothing; an empty table gives no rows; further columns are ignored. Windows
     are compared by two 64-bit hashes over two hashes of each word.
     """
+    # A group is large enough by itself: a batch need hold no more than one.
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     groups = groups_of(docs, block_bytes, group_bytes)
     size = groups.agg(F.sum("bytes")).first()[0] or 0
     ranges = max(1, -(-size // range_bytes))
