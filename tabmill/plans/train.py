@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -178,10 +180,57 @@ def _fitted(spec: ModelSpec | TreeSpec, data: TrainingData, held: TrainingData,
     return model, _evaluated(_predicted(model, held))
 
 
-def compare(data: TrainingData, specs: Sequence[ModelSpec | TreeSpec]) -> Comparison:
+class _Attempt(threading.Thread):
+    """One model's fit and metrics in a thread of its own; its jobs have a tag and a scheduler pool."""
+
+    def __init__(self, spec: ModelSpec | TreeSpec, data: TrainingData, held: TrainingData, shape) -> None:
+        super().__init__(daemon=True)
+        self.spec, self.arguments, self.tag = spec, (spec, data, held, shape), f"model-{uuid.uuid4().hex}"
+        self.context = data.train.sparkSession.sparkContext
+        self.begun, self.seconds = time.monotonic(), 0.0
+        self.model, self.row, self.error, self.stopped = None, None, None, None
+
+    def run(self) -> None:
+        self.context.addJobTag(self.tag)
+        self.context.setLocalProperty("spark.scheduler.pool", self.tag)
+        try:
+            self.model, self.row = _fitted(*self.arguments)
+        except Exception as error:  # noqa: BLE001 - a failing model must not end the comparison
+            self.error = str(error)
+        self.seconds = time.monotonic() - self.begun
+
+    def cancel(self, limit: float) -> None:
+        """End its jobs; the thread then ends with their error, or is left behind if it runs none."""
+        self.stopped = f"stopped after {limit:g} s"
+        self.context.cancelJobsWithTag(self.tag)
+
+
+def _attempts(specs: Sequence[ModelSpec | TreeSpec], start: Callable[[ModelSpec | TreeSpec], _Attempt], parallelism: int, limit: float | None) -> list[_Attempt]:
+    """All specs tried, some at a time, in the order given."""
+    waiting, running, done = list(specs), [], {}
+    while waiting or running:
+        while waiting and len(running) < parallelism:
+            running.append(start(waiting.pop(0)))
+            running[-1].start()
+        for attempt in list(running):
+            attempt.join(0.05)
+            late = attempt.is_alive() and limit is not None and time.monotonic() - attempt.begun > limit
+            if late:
+                attempt.cancel(limit)
+            if late or not attempt.is_alive():
+                running.remove(attempt)
+                done[attempt.spec.name] = attempt
+    return [done[s.name] for s in specs]
+
+
+def compare(data: TrainingData, specs: Sequence[ModelSpec | TreeSpec], parallelism: int = 1, limit: float | None = None) -> Comparison:
     """Fit and measure each model on the same cached tables, tree models on the binned store.
 
-    A model that fails is reported and passed over; none at all is an error.
+    `parallelism` models run side by side, each in a scheduler pool of its own;
+    they share the cores evenly where the cluster schedules by FAIR.
+    A model that fails, or takes longer than `limit` seconds, is reported and
+    passed over, its jobs are cancelled and the others go on; none at all is an
+    error. Names of the models must differ.
     """
     spark = data.train.sparkSession
     shape = label_shape(data.train)
@@ -189,23 +238,19 @@ def compare(data: TrainingData, specs: Sequence[ModelSpec | TreeSpec]) -> Compar
         data.train.persist(StorageLevel.MEMORY_AND_DISK), data.test.persist(StorageLevel.MEMORY_AND_DISK),
         data.features, data.fill,
     )
-    rows, models, failures = [], {}, {}
     try:
-        for spec in specs:
-            start = time.monotonic()
-            try:
-                model, row = _fitted(spec, data, held, shape)
-            except Exception as error:  # noqa: BLE001 - a failing model must not end the comparison
-                failures[spec.name] = str(error)
-                continue
-            rows.append({"model": spec.name, **row, "seconds": time.monotonic() - start})
-            models[spec.name] = model
+        if any(isinstance(s, TreeSpec) for s in specs):
+            data.store()
+        attempts = _attempts(specs, lambda s: _Attempt(s, data, held, shape), parallelism, limit)
     finally:
         held.train.unpersist()
         held.test.unpersist()
-    if not rows:
+    failures = {a.spec.name: a.stopped or a.error for a in attempts if a.stopped or a.error is not None}
+    good = [a for a in attempts if a.spec.name not in failures]
+    if not good:
         raise ValueError(f"no model could be trained: {failures}")
-    return Comparison(metrics_table(spark, rows), rows, models, failures=failures)
+    rows = [{"model": a.spec.name, **a.row, "seconds": a.seconds} for a in good]
+    return Comparison(metrics_table(spark, rows), rows, {a.spec.name: a.model for a in good}, failures=failures)
 
 
 def metrics_table(spark, rows: Sequence[Mapping]) -> DataFrame:

@@ -1,3 +1,6 @@
+import threading
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +166,27 @@ def test_tree_search_reads_one_store(spark, tmp_path):
     chosen, error = tune.tree_search(data, spec.with_settings({"min_rows": 5}), [{"rounds": 1}, {"rounds": 8}], 2)
     assert chosen == {"rounds": 8} and 0 < error < 1
     assert len([p for p in tmp_path.iterdir() if p.name.startswith("binned")]) == 1
+
+
+def test_a_model_that_never_ends_is_stopped(spark, tmp_path):
+    i = F.col("id")
+    matrix = spark.range(200).select("id", (i % 40).cast("double").alias("a"), F.log1p(1000.0 + i % 40 * 500).alias("price_log"))
+    data = R.prepare(matrix, "price_log", ["id"], folder=str(tmp_path), stratified=False, deduplicate=False)
+
+    def endless(shape):
+        while True:
+            spark.range(0, 10**12, 1, 2).selectExpr("sum(sqrt(id))").collect()
+
+    def idle(shape):
+        threading.Event().wait(600)
+
+    specs = [A.ModelSpec("Endless", endless), A.ModelSpec("Idle", idle), *[m for m in A.small_models() if m.name in ("Linear Regression", "Ridge")]]
+    start = time.monotonic()
+    found = R.compare(data, specs, parallelism=3, limit=25)
+    assert time.monotonic() - start < 60
+    assert found.failures == {"Endless": "stopped after 25 s", "Idle": "stopped after 25 s"}
+    assert [r["model"] for r in found.rows] == ["Linear Regression", "Ridge"]
+    deadline = time.monotonic() + 10
+    while spark.sparkContext.statusTracker().getActiveJobsIds() and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds()
