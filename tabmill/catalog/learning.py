@@ -152,7 +152,8 @@ def shown(comparison):
 @query("k05_k13_model_compare_small")
 def k13_small(spark, d):
     data = R.prepare(order_matrix(spark, d), "price_log", ["o_orderkey"], stratified=False, deduplicate=False)
-    return shown(R.compare(data, A.small_models(trees=10)))
+    models = [m.with_settings({"depth": 8}) if m.name == "Random Forest" else m for m in A.small_models(trees=10)]
+    return shown(R.compare(data, models))
 
 
 @query("k08_k10_k11_k20_model_compare_large")
