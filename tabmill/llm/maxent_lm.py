@@ -219,59 +219,47 @@ def _gather(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = _Words(), np.zeros(0, np.int64)
-        beside, waiting, seen = np.zeros(BUCKETS * 2 * CONTEXTS, np.int64), [], []
+        beside = np.zeros(BUCKETS * 2 * CONTEXTS, np.int64)
 
         def batch(kind: int, **columns) -> pa.RecordBatch:
             size = len(next(iter(columns.values())))
             full = {"kind": [kind] * size} | {f.name: columns.get(f.name, [None] * size) for f in schema if f.name != "kind"}
             return pa.record_batch([pa.array(full[f.name], f.type) for f in schema], schema=schema)
 
-        def count_seen() -> None:
-            nonlocal counts
-            found = np.bincount(np.concatenate(seen), minlength=len(words.ids)) if seen else np.zeros(len(words.ids), np.int64)
-            found[: len(counts)] += counts
-            counts = found
-            seen.clear()
-
         def counted() -> pa.RecordBatch:
-            nonlocal counts
-            count_seen()
             some = np.flatnonzero(counts)
             every = list(words)
             out = batch(1, word=[every[k] for k in some], n=counts[some].tolist())
             words.clear()
             words.ids.clear()
-            counts = np.zeros(0, np.int64)
             return out
 
-        def add_waiting() -> None:
-            nonlocal beside
-            if waiting:
-                beside += np.bincount(np.concatenate(waiting), minlength=len(beside))
-                waiting.clear()
-
         for part in batches:
             rows, docs_, held, texts = (part.column(i) for i in range(4))
-            found = []
-            for out, text in zip(held.to_pylist(), texts_of(texts)):
+            numbers, sizes = [], []
+            for text in texts_of(texts):
                 tokens = text.lower().split()
                 tokens.append(END_TOKEN)
-                numbers = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-                ids = np.array(words.ids, np.int64)[numbers] if len(words.ids) < len(tokens) else np.fromiter(map(words.ids.__getitem__, numbers), np.int64, len(tokens))
-                found.append(ids.astype("<u2").tobytes())
-                if not out:
-                    seen.append(numbers)
-                    b = ids[:-1] // DETAIL
-                    before, after = b[:-1], b[1:]
-                    waiting += [after * (2 * CONTEXTS) + before % CONTEXTS, before * (2 * CONTEXTS) + CONTEXTS + after % CONTEXTS]
-                    if len(waiting) > 2000:
-                        add_waiting()
-                        count_seen()
-                if len(words) > FLUSH_WORDS:
-                    yield counted()
-            yield batch(0, row=rows.to_pylist(), doc_id=docs_.to_pylist(), held_out=held.to_pylist(), ids=found)
-        yield counted()
-        add_waiting()
+                numbers.append(np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)))
+                sizes.append(len(tokens))
+            every, learned = np.concatenate(numbers), np.repeat(~np.array(held.to_pylist(), bool), sizes)
+            ids = np.array(words.ids, np.int32)[every]
+            # Held-out words have numbers too, but no counts.
+            found = np.bincount(every[learned], minlength=len(words.ids))
+            found[: len(counts)] += counts
+            counts = found
+            b = ids // DETAIL
+            pair = np.flatnonzero(learned[:-1] & (b[:-1] < END) & (b[1:] < END))
+            before, after = b[pair].astype(np.int64), b[pair + 1].astype(np.int64)
+            for place in (after * (2 * CONTEXTS) + before % CONTEXTS, before * (2 * CONTEXTS) + CONTEXTS + after % CONTEXTS):
+                beside += np.bincount(place, minlength=len(beside))
+            cuts = np.cumsum(sizes)
+            yield batch(0, row=rows.to_pylist(), doc_id=docs_.to_pylist(), held_out=held.to_pylist(), ids=[x.tobytes() for x in np.split(ids.astype("<u2"), cuts[:-1])])
+            if len(words) > FLUSH_WORDS:
+                yield counted()
+                counts = np.zeros(0, np.int64)
+        if len(words):
+            yield counted()
         blocks = beside.reshape(-1, NEIGHBOUR_BLOCK * 2 * CONTEXTS)
         some = np.flatnonzero(blocks.any(1))
         if len(some):
@@ -418,7 +406,8 @@ def fit(docs: DataFrame) -> Fitted:
     mixed = F.xxhash64("doc_id", "ids")
     dealt = documents.where(~F.col("held_out")).select("doc_id", "ids", mixed.alias("order"), F.pmod(mixed, F.lit(ROUNDS)).alias("round"), F.pmod(F.xxhash64(mixed), F.lit(max(parts, 1))).alias("part"))
     for k in range(ROUNDS if tokens else 0):
-        mine = dealt.where(F.col("round") == k).repartition(parts, "part").sortWithinPartitions("part", "order", "doc_id")
+        # More tasks than parts, so that few of them get two.
+        mine = dealt.where(F.col("round") == k).repartition(4 * parts, "part").sortWithinPartitions("part", "order", "doc_id")
         weights = _train_round(mine, weights, base, classes)
     return Fitted(Model(classes, base, weights, share), counts, tokens, types, documents)
 
