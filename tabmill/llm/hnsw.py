@@ -338,6 +338,10 @@ def _query_shard(radius: float):
 def near_duplicates(vectors: DataFrame, radius: float = RADIUS, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, least_shards: int = LEAST_SHARDS) -> DataFrame:
     """One row for each row of `vectors` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
+    n_links counts the links that the vector's own searches verify; one that only
+    the other end's search finds, which the audits keep rare, is in the component
+    and in the other's count.
+
     Cases: a vector that is null, empty, zero or holds a null or a number that
     isn't finite has no link; vectors of different lengths don't link; equal
     vectors and repeated rows link with each other; null ids name a component
@@ -367,9 +371,8 @@ def near_duplicates(vectors: DataFrame, radius: float = RADIUS, shard_rows: int
     found = staged(pairs.applyInPandas(_query_shard(radius), "a long, b long, n long"), "vector-links")
 
     forest = found.where("b >= 0").select("a", "b")
-    # A link seen from one side only still counts for both of its ends.
-    ends = forest.unionByName(forest.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy("a").agg(F.count(F.lit(1)).alias("touched"))
-    counts = found.where("b < 0").groupBy("a").agg(F.sum("n").alias("n")).join(ends, "a", "full").select(F.col("a").alias("node"), F.greatest("n", "touched").alias("n"))
+    # The forest says what is reachable, not what is linked: links are counted where they are verified.
+    counts = found.where("b < 0").groupBy("a").agg(F.sum("n").alias("n")).select(F.col("a").alias("node"), "n")
     labels = connected_components(forest)
     named = first.select("key", "node", "rep", "weight").join(labels, "node", "left").join(counts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -98,3 +98,12 @@ def test_a_large_group_does_not_hide_lost_pairs():
 
     beam = h.beam_for(graph, unit, 0.95, own=own)
     assert recall(h.BEAM) < h.RECALL <= recall(beam)
+
+
+def test_links_of_chains_are_counted_at_their_ends_only(rows):
+    # Steps of 15 degrees: neighbours link (0.966), those two steps apart don't (0.866).
+    turns = np.deg2rad(15 * np.arange(12))
+    items = [(i, [float(np.cos(t)), float(np.sin(t)), 0.0]) for i, t in enumerate(turns)]
+    df = rows([(i, v, 0, "x", 1) for i, v in items], SCHEMA)
+    got = h.near_duplicates(df, shard_rows=5, block_rows=4, least_shards=2).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, 1 if i in (0, 11) else 2, 0) for i in range(12)]
