@@ -354,16 +354,19 @@ class Model:
     weights: np.ndarray
     share: np.ndarray
 
-    def log10_classes(self, ids: np.ndarray) -> float:
-        """Sum over a document's tokens of log10(P(class | history) / smoothed tokens of the class)."""
-        total, hashes, classes = 0.0, feature_hashes(ids), self.classes[ids // DETAIL]
-        nodes, outcomes = choices(classes)
-        for at in range(0, len(ids), 4 * BATCH):
-            few = slice(at, at + 4 * BATCH)
-            rows = weight_rows(hashes[few], nodes[few]).reshape(-1, FEATURES)
-            logs = log_probabilities(self.base, self.weights, nodes[few].ravel(), rows, outcomes[few].ravel())
-            total += float(logs.sum(dtype=np.float64)) / np.log(10) - float(self.share[classes[few]].sum())
-        return total
+    def log10_classes(self, documents: list[np.ndarray]) -> np.ndarray:
+        """For each document (ids), the sum over its tokens of log10(P(class | history) / smoothed tokens of the class)."""
+        classes = self.classes[np.concatenate(documents) // DETAIL]
+        hashes = np.concatenate([feature_hashes(x) for x in documents])
+        logs = np.empty(len(classes))
+        for at in range(0, len(classes), BATCH):
+            few = slice(at, at + BATCH)
+            nodes, outcomes = choices(classes[few])
+            rows = weight_rows(hashes[few], nodes).reshape(-1, FEATURES)
+            found = log_probabilities(self.base, self.weights, nodes.ravel(), rows, outcomes.ravel())
+            logs[few] = found.reshape(-1, LEVELS).sum(1, dtype=np.float64) / np.log(10) - self.share[classes[few]]
+        starts = np.cumsum([0, *map(len, documents)])[:-1]
+        return np.add.reduceat(logs, starts)
 
 
 @dataclass
@@ -436,9 +439,16 @@ def score(docs: DataFrame, fitted: Fitted) -> DataFrame:
 
     def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.frombuffer(b.as_py(), "<u2").astype(np.int64) for b in batch.column(3)]
+            sizes, logs, held, size = [], [], [], 0
+            for k, ids in enumerate(batch.column(3), 1):
+                held.append(np.frombuffer(ids.as_py(), "<u2").astype(np.int64))
+                size += len(held[-1])
+                if size >= 8 * BATCH or k == batch.num_rows:
+                    sizes += map(len, held)
+                    logs.append(model.value.log10_classes(held))
+                    held, size = [], 0
             yield pa.record_batch(
-                [*batch.columns[:3], pa.array([len(b) for b in found], pa.int64()), pa.array([model.value.log10_classes(b) for b in found], pa.float64())],
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(np.concatenate(logs or [np.zeros(0)]), pa.float64())],
                 names=["row", "doc_id", "held_out", "n_tokens", "by_class"])
 
     def by_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
