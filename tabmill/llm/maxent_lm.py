@@ -235,6 +235,8 @@ def _gather(docs: DataFrame) -> DataFrame:
             return out
 
         for part in batches:
+            if not part.num_rows:
+                continue
             rows, docs_, held, texts = (part.column(i) for i in range(4))
             numbers, sizes = [], []
             for text in texts_of(texts):
