@@ -238,3 +238,30 @@ def test_forest_goes_below_thirty_levels(spark):
 def test_forest_of_an_empty_part(spark):
     _, store = stored(spark, [])
     assert Fo.random_forest(store, trees=2).trees == []
+
+
+def test_forest_sends_alike_rows_once(spark):
+    """Rows of few different features: a node gets one piece from a task, and a piece no more rows than there are features."""
+    rows = [{"id": i, "a": float(i % 3), "b": float(i % 2), "c": None, "y": float(i % 7)} for i in range(3000)]
+    _, store = stored(spark, rows, categories=())
+    forest = Fo.ForestRules(store.rules(used=["a", "b"], min_rows=1), 1024.0, 3.0, None, 2, 1.0, 42)
+    sent = list(Fo._handed_over(forest, {0: Fo._Top().tree(1.0)}, {0: [0]})(iter(store.df.toArrow().select(["rows", "label", "hash", "bins"]).combine_chunks().to_batches())))
+    times = np.concatenate([np.frombuffer(t.as_py(), "<i4") for b in sent for t in b.column("times")])
+    assert sum(b.num_rows for b in sent) == 1 and len(times) == 6
+    hashes = np.concatenate([np.frombuffer(h, "<i8") for h in store.df.toArrow().column("hash").to_pylist()]).view(np.uint64)
+    assert times.sum() == Fo.drawn_times(hashes, 0, 42).sum()
+
+
+def test_batches_of_blocks_are_bounded(spark):
+    """A task's part of the store grows with the table; what Python gets at once must not."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 30))
+    _, store = stored(spark, make(50, 3))
+    store.part()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_models_share_the_held_rows(spark):
+    _, store = stored(spark, make(50, 3))
+    with store.held() as one, store.held() as two:
+        assert one.count() == two.count() and one.storageLevel.useMemory
+    assert not one.storageLevel.useMemory
