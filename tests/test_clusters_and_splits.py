@@ -50,6 +50,16 @@ def test_few_and_no_points(spark):
     assert C.fit_kmeans(one.limit(0), 3) == []
 
 
+def test_steps_read_blocks(spark):
+    """A pass gets bytes of many vectors a row, and every vector once."""
+    x = np.random.default_rng(3).normal(size=(20_000, 3))
+    vectors = spark.createDataFrame([(Vectors.dense(v),) for v in x], ["features"]).coalesce(2)
+    got = C._points(vectors, 5).collect()
+    assert len(got) <= 4 and sum(r["rows"] for r in got) == 20_000
+    back = np.concatenate([np.frombuffer(r["x"]).reshape(-1, 3) for r in got])
+    assert np.array_equal(back[np.lexsort(back.T)], x[np.lexsort(x.T)])
+
+
 def plain_hash(key, seed=42):
     return int(hashlib.md5(f"{key}|{seed}".encode()).hexdigest()[:15], 16)
 
