@@ -45,6 +45,15 @@ def test_quantiles_are_exact_however_they_are_found(table, limit):
         assert np.allclose(found[c], pdf[c].quantile(PROBS), rtol=1e-12)
 
 
+def test_many_ranks_are_looked_up_without_a_row_for_each(table, monkeypatch):
+    pdf, df = table
+    monkeypatch.setattr(Q, "_narrowed", lambda *a: pytest.fail("every value was joined with every rank"))
+    probs = [i / 254 for i in range(255)]
+    found = Q.quantiles(df, {"x": probs, "y": probs}, 50)
+    for c in "xy":
+        assert np.allclose(found[c], pdf[c].quantile(probs), rtol=1e-12)
+
+
 @pytest.mark.parametrize("limit", [10**6, 300])
 def test_group_medians_split_large_groups(table, limit):
     pdf, df = table
