@@ -168,6 +168,22 @@ def test_tree_search_reads_one_store(spark, tmp_path):
     assert len([p for p in tmp_path.iterdir() if p.name.startswith("binned")]) == 1
 
 
+def test_search_fits_side_by_side_on_a_matrix_written_once(spark, tmp_path):
+    i = F.col("id")
+    matrix = spark.range(300).select("id", (i % 40).cast("double").alias("a"), F.log1p(1000.0 + i % 40 * 500).alias("price_log"))
+    data = R.prepare(matrix, "price_log", ["id"], folder=str(tmp_path), native=True, deduplicate=False)
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("matrix")]) == 1
+    spec = next(m for m in A.large_models() if m.name == "Histogram Boosting").with_settings({"min_rows": 5})
+    both = threading.Barrier(2)
+
+    def fit(data, **settings):
+        both.wait(60)
+        return spec.fit(data, **settings)
+
+    chosen, error = tune.tree_search(data, A.TreeSpec(spec.name, fit, spec.settings), [{"rounds": 1}, {"rounds": 3}], 2, parallelism=2)
+    assert (chosen, error) == tune.tree_search(data, spec, [{"rounds": 1}, {"rounds": 3}], 2)
+
+
 def test_a_model_that_never_ends_is_stopped(spark, tmp_path):
     i = F.col("id")
     matrix = spark.range(200).select("id", (i % 40).cast("double").alias("a"), F.log1p(1000.0 + i % 40 * 500).alias("price_log"))
