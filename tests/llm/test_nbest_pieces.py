@@ -1,9 +1,11 @@
 """N-best segmentation against all segmentations of short texts, and exact round trips."""
 
+import re
 import zlib
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,3 +105,43 @@ def test_table_stays_small(monkeypatch):
     for text in ("one two three four five", "one six", "two one", "seven one eight nine"):
         assert [s for s, _ in v.segmentations(text)] == [s for s, _ in fresh.segmentations(text)]
         assert len(v.words) <= 8 and v.size <= 16
+
+
+def test_only_beginnings_of_pieces_are_followed(monkeypatch):
+    v, steps, plain = nb.Vocabulary.load(nb.vocabulary_path()), [], nb._step
+    monkeypatch.setattr(nb, "_step", lambda key, points: steps.append(len(key)) or plain(key, points))
+    rng = np.random.default_rng(2)
+    words = ["▁" + "".join(rng.choice(list("qzxjkvwy"), 23)) for _ in range(1000)]
+    v.learn([words])
+    # Each character begins strings of up to 16 characters; few of these go on to a piece.
+    assert sum(steps) < 4 * 24 * len(words)
+    assert len(steps) <= v.longest
+
+
+def test_characters_that_only_longer_pieces_have():
+    v = small([("xy", -3.0)])
+    for word in ("▁xy", "xy", "▁axya"):
+        v.learn([[word]])
+        best, second = (s for s, _ in v.n_best(word, 2))
+        assert v.loss[v.words[word]] == best - second
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text("ab é\n▁🎉\t", max_size=9), max_size=5))
+def test_words_of_many_texts(texts):
+    v = small()
+    words, which, ends = v._cut(texts)
+    got = [[words[k] for k in which[a:b]] for a, b in pairwise([0, *ends.tolist()])]
+    assert got == [re.findall("▁*[^▁\n]+|▁+|\n+", v.normal(t)) for t in texts]
+    assert len(set(words)) == len(words)
+    each = [v.segmentations(t, 3) for t in texts]
+    assert [[(s, x.tolist()) for s, x in found] for found in v.segmented(texts, 3)] == [[(s, x.tolist()) for s, x in found] for found in each]
+
+
+def test_parts_are_bounded(monkeypatch):
+    monkeypatch.setattr(nb, "ROWS", 3)
+    monkeypatch.setattr(nb, "BYTES", 10)
+    texts = ["a", None, "", "b", "x" * 30, "é" * 5, "c", "d" * 10]
+    parts = list(nb._parts(pa.record_batch([pa.array(range(8)), pa.array(texts)], ["doc_id", "text"])))
+    assert [p.column(1).to_pylist() for p in parts] == [texts[:3], texts[3:4], texts[4:5], texts[5:6], texts[6:7], texts[7:]]
+    assert not list(nb._parts(pa.record_batch([pa.array([], pa.int64()), pa.array([], pa.string())], ["doc_id", "text"])))
