@@ -144,7 +144,8 @@ METRIC_COLUMNS = ("train_r2", "test_r2", "r2_gap", "test_rmse", "test_mae", "tes
 
 
 def shown(comparison):
-    return comparison.metrics.select("model", *METRIC_COLUMNS)
+    """Metrics of all models; a model that failed fails the query."""
+    return comparison.whole().metrics.select("model", *METRIC_COLUMNS)
 
 
 @query("k05_k13_model_compare_small")
@@ -174,7 +175,7 @@ def k15(spark, d):
     data = R.prepare(order_matrix(spark, d), "price_log", ["o_orderkey"], deduplicate=False)
     specs = [m.with_settings({"trees": 5}) for m in A.large_models() if m.name == "Random Forest"]
     draws = tune.drawn({"depth": [10, 15, 20], "min_split": [15, 20, 25], "share": [0.4, 0.5, 0.6]}, 3)
-    found = R.compare_and_tune(data, specs, {"Random Forest": draws}, folds=2, parallelism=3)
+    found = R.compare_and_tune(data, specs, {"Random Forest": draws}, folds=2, parallelism=3).whole()
     path = scratch(spark, "settings")
     write_settings(spark, path, found.best, found.settings.get("Random Forest (tuned)", {}))
     return spark.read.json(path).select("model_name", "hyperparameters")
@@ -229,7 +230,7 @@ def k13_linear(spark, d):
     """Metrics of the linear models from a split of exact size, the time they took, and the one to save."""
     lines = table(spark, d, "lineitem").select(*LINE_KEYS, "l_quantity", F.log1p("l_extendedprice").alias("price_log"))
     data = R.prepare(lines, "price_log", LINE_KEYS, stratified=False, deduplicate=False)
-    found = R.compare(data, [m for m in A.small_models() if m.name in ("Linear Regression", "Ridge")])
+    found = R.compare(data, [m for m in A.small_models() if m.name in ("Linear Regression", "Ridge")]).whole()
     best = found.metrics.agg(F.min(F.round("test_rmse", 4))).first()[0]
     return found.metrics.select(
         "model", *rounded("train_r2", "test_r2", "r2_gap"), *rounded("test_rmse", "test_mae", digits=4), *rounded("mse_log"),

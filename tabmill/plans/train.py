@@ -7,6 +7,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from math import isfinite
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -91,6 +92,12 @@ class Comparison:
     def best(self) -> str:
         return min(self.rows, key=lambda r: r["test_rmse"])["model"]
 
+    def whole(self) -> Comparison:
+        """This comparison, if all of its models were trained and tuned; one that failed is an error, not a missing row."""
+        if self.failures:
+            raise RuntimeError(f"models failed: {self.failures}")
+        return self
+
 
 def prepare(
     df: DataFrame,
@@ -157,6 +164,8 @@ def _evaluated(predictions: DataFrame) -> dict:
     )
     whole = {r[SPLIT]: r for r in found if r["range_id"] is None}
     train, test = whole[TRAIN], whole[TEST]
+    if any(r["rmse"] is None or not isfinite(r["rmse"]) for r in (train, test)):
+        raise ValueError(f"its errors are no finite numbers: train {train['rmse']}, test {test['rmse']}")
     out = {f"train_{m}": train[m] for m in ("r2", "mae", "rmse", "mape", "mse")}
     out |= {f"test_{m}": test[m] for m in ("r2", "mae", "rmse", "mape", "mse")}
     out |= {"mse_log": test["mse_log"], "mae_log": test["mae_log"]}
@@ -230,7 +239,8 @@ def compare(data: TrainingData, specs: Sequence[ModelSpec | TreeSpec], paralleli
     they share the cores evenly where the cluster schedules by FAIR.
     A model that fails, or takes longer than `limit` seconds, is reported and
     passed over, its jobs are cancelled and the others go on; none at all is an
-    error. Names of the models must differ.
+    error. So is one whose errors are no finite numbers. Who needs all models
+    asks for the `whole` comparison. Names of the models must differ.
     """
     spark = data.train.sparkSession
     shape = label_shape(data.train)
@@ -289,7 +299,7 @@ def compare_and_tune(
 ) -> Comparison:
     """Compare, then tune the best model where it has a search; keep both rows.
 
-    If tuning fails the untuned model stays.
+    If tuning fails the untuned model stays and the failure is reported.
     """
     found = compare(data, specs)
     best = found.best

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabmill.catalog.learning import shown
 from tabmill.operators.profile import null_profile
 from tabmill.plans import models as A
 from tabmill.plans import train as R
@@ -131,6 +132,28 @@ def test_compare_tune_save_and_score(spark, tmp_path):
         R.compare(data, [specs[2]])
 
 
+def test_a_failed_model_is_no_result(spark, tmp_path):
+    """A query shows all of its models or fails; errors that are no numbers count as a failure."""
+    i = F.col("id")
+    matrix = spark.range(200).select("id", (i % 40).cast("double").alias("a"), F.log1p(1000.0 + i % 40 * 500).alias("price_log"))
+    data = R.prepare(matrix, "price_log", ["id"], folder=str(tmp_path), stratified=False, deduplicate=False)
+
+    def broken(shape):
+        raise RuntimeError("no such model")
+
+    class Endless:
+        def scored(self, store):
+            return data.train.select("label", F.lit("train").alias("split"), F.lit(2000.0).alias("prediction")).unionByName(
+                data.test.select("label", F.lit("test").alias("split"), F.lit(2000.0).alias("prediction")))
+
+    good = A.ModelSpec("Linear", lambda s: A.least_squares(), True)
+    found = R.compare(data, [A.TreeSpec("Endless", lambda data, **settings: Endless(), {}), good, A.ModelSpec("Broken", broken)])
+    assert set(found.failures) == {"Broken", "Endless"} and "no finite numbers" in found.failures["Endless"] and found.best == "Linear"
+    with pytest.raises(RuntimeError, match="Broken.*no such model"):
+        shown(found)
+    assert shown(R.compare(data, [good])).count() == 1
+
+
 def test_grids():
     assert len(tune.combinations(tune.FOREST_GRID)) == 24 and len(tune.combinations(tune.BOOSTING_GRID)) == 16
     for grid, n in tune.RANDOM_GRIDS.values():
