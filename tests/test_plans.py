@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabmill.catalog import learning
 from tabmill.catalog.learning import shown
 from tabmill.operators.profile import null_profile
 from tabmill.plans import models as A
@@ -154,6 +155,25 @@ def test_a_failed_model_is_no_result(spark, tmp_path):
     assert shown(R.compare(data, [good])).count() == 1
 
 
+@pytest.fixture
+def asked(monkeypatch):
+    """What a query asks of the comparison and the search, without their work."""
+    seen = {}
+    monkeypatch.setattr(learning, "order_matrix", lambda *a: None)
+    monkeypatch.setattr(learning, "shown", lambda found: found)
+    monkeypatch.setattr(R, "prepare", lambda *a, **k: None)
+    monkeypatch.setattr(R, "compare", lambda data, specs, **k: seen.update(specs=specs, **k))
+    monkeypatch.setattr(R, "compare_and_tune", lambda data, specs, searches, **k: seen.update(specs=specs, searches=searches, **k))
+    return seen
+
+
+def test_large_comparison_trains_whole_models(asked):
+    learning.k13_large(None, "")
+    settings = {m.name: dict(m.settings) for m in asked["specs"]}
+    assert settings.pop("Random Forest") == {"trees": 100, "depth": 15, "min_split": 20, "min_rows": 10, "share": 0.5}
+    assert len(settings) == 3 and all(s["rounds"] == 200 for s in settings.values())
+
+
 def test_grids():
     assert len(tune.combinations(tune.FOREST_GRID)) == 24 and len(tune.combinations(tune.BOOSTING_GRID)) == 16
     for grid, n in tune.RANDOM_GRIDS.values():

@@ -114,6 +114,22 @@ def test_same_trees_for_any_partitioning(spark):
     assert models[0].to_json() == models[1].to_json()
 
 
+def test_one_task_grows_the_same_trees_as_passes(spark, monkeypatch):
+    """A small part takes a job or two for all trees, whatever their number."""
+    rows = make(700, 9)
+    _, store = stored(spark, rows)
+    fits = [
+        lambda: B.leafwise_boosting(store, rounds=12, leaves=9, min_rows=5, categories=["c"], fold=(1, 3)),
+        lambda: B.gradient_boosting(store, rounds=3, depth=4), lambda: B.symmetric_boosting(store, rounds=3, depth=3),
+        lambda: B.histogram_boosting(store, rounds=30, rate=0.9, min_rows=60, early=True),
+    ]
+    here = [f() for f in fits]
+    assert len(here[0].trees) == 12 and len(here[0].errors) == 13
+    monkeypatch.setattr(B, "HELD_BYTES", 0)
+    there = [f() for f in fits]
+    assert [m.to_json() for m in here] == [m.to_json() for m in there] and [m.errors for m in here] == [m.errors for m in there]
+
+
 def test_missing_values_learn_their_side(spark):
     rows = [{"id": i, "a": 1.0, "b": None if i % 2 else float(i % 7), "c": "d", "y": 5.0 if i % 2 or i % 7 > 3 else 0.0} for i in range(420)]
     _, store = stored(spark, rows)
