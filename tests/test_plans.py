@@ -174,6 +174,12 @@ def test_large_comparison_trains_whole_models(asked):
     assert len(settings) == 3 and all(s["rounds"] == 200 for s in settings.values())
 
 
+def test_grid_search_tries_the_whole_grid(asked):
+    learning.k14(None, "")
+    assert [(m.name, dict(m.settings)) for m in asked["specs"]] == [("Gradient Boosting", {"rounds": 100})] and asked["folds"] == 3
+    assert asked["searches"]["Gradient Boosting"] == tune.combinations(tune.BOOSTING_GRID) and len(asked["searches"]["Random Forest"]) == 24
+
+
 def test_grids():
     assert len(tune.combinations(tune.FOREST_GRID)) == 24 and len(tune.combinations(tune.BOOSTING_GRID)) == 16
     for grid, n in tune.RANDOM_GRIDS.values():
