@@ -11,6 +11,9 @@ they don't. Links are verified by cosine in double precision,
 counted where they are found, and sent on as a forest of each block, so a
 dense group costs one link a member and not its pairs.
 
+A graph travels in pieces, before the queries that are put to it, and both reach
+Python in batches of bounded bytes: no row of a table is as large as a graph.
+
 Searches move many queries in step, as numpy arrays. The method compares every
 vector with a beam of every shard: the work is vectors times shards.
 """
@@ -45,6 +48,10 @@ RECALL = 0.995  # that audited queries with links must reach on average
 _STEP = 256  # queries moved together
 _EXPAND = 4  # nodes that each of them visits at a time
 _PAIRS = 1 << 18  # pairs verified at a time
+_CELLS = 1 << 21  # similarities of an audit at a time
+PIECE_BYTES = 256 << 10  # of a graph on its way
+BATCH_BYTES = 8 << 20  # between Spark and Python
+PAIRS_WANTED = 256  # of shards and groups of blocks, for tasks to share; beyond it a graph serves several blocks
 
 
 @dataclass
@@ -232,14 +239,15 @@ def links_within(graph: Graph, queries: np.ndarray, beam: int, radius: float) ->
         beside = beside[(beside >= 0)]
         beside = beside[~nodes[beside]]
         inside = np.zeros(len(beside), bool)
-        for at in range(0, len(rows), _STEP):
-            inside |= (single[rows[at : at + _STEP]] @ graph.unit[beside].T >= near).any(0)
+        among, step = graph.unit[beside].T, max(1, min(_STEP, _CELLS // max(1, len(beside))))
+        for at in range(0, len(rows), step):
+            inside |= (single[rows[at : at + step]] @ among >= near).any(0)
         new = beside[inside]
         nodes[new] = True
     some = np.flatnonzero(nodes)
-    step = max(1, _PAIRS // max(1, len(some)))
+    step, exact = max(1, _PAIRS // max(1, len(some))), graph.exact[some].T if len(rows) else None
     for at in range(0, len(rows) if len(some) else 0, step):
-        q, k = np.nonzero(queries[rows[at : at + step]] @ graph.exact[some].T >= radius)
+        q, k = np.nonzero(queries[rows[at : at + step]] @ exact >= radius)
         yield rows[at + q], some[k]
 
 
@@ -251,7 +259,8 @@ def beam_for(graph: Graph, queries: np.ndarray, radius: float, beam: int = BEAM,
     the query itself (-1 for none); it is no link.
     """
     own = np.full(len(queries), -1) if own is None else own
-    due = np.concatenate([(queries[at : at + _STEP] @ graph.exact.T >= radius).sum(1) for at in range(0, len(queries), _STEP)] or [np.zeros(0, np.int64)])
+    step = max(1, min(_STEP, _CELLS // max(1, len(graph.unit))))
+    due = np.concatenate([(queries[at : at + step] @ graph.exact.T >= radius).sum(1) for at in range(0, len(queries), step)] or [np.zeros(0, np.int64)])
     due = due - ((own >= 0) & (np.einsum("kd,kd->k", queries, graph.exact[own]) >= radius))
     some = due > 0
     while beam < len(graph.unit) and some.any():
@@ -295,42 +304,81 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _build_shard(part: pd.DataFrame) -> pd.DataFrame:
+    """The graph of a shard as bytes, in pieces; of an upper layer only the nodes that it has."""
     part = part.sort_values("node")
     dim, nodes = int(part["dim"].iloc[0]), part["node"].to_numpy()
     vectors = _matrix(part["vec"], dim)
     graph, out = build(unit_rows(vectors), nodes), io.BytesIO()
-    np.savez(out, vectors=vectors, nodes=nodes, weights=part["weight"].to_numpy(), entry=np.array([graph.entry]), **{f"layer{i}": x.astype(np.int32) for i, x in enumerate(graph.layers)})
-    return pd.DataFrame({"dim": [dim], "shard": [int(part["shard"].iloc[0])], "graph": [out.getvalue()]})
+    layers = {}
+    for i, near in enumerate(graph.layers):
+        here = np.flatnonzero((near >= 0).any(1))
+        layers |= {f"at{i}": here.astype(np.int32), f"layer{i}": near[here].astype(np.int32)}
+    np.savez(out, vectors=vectors, nodes=nodes, weights=part["weight"].to_numpy(), entry=np.array([graph.entry]), **layers)
+    whole = out.getbuffer()
+    pieces = [bytes(whole[at : at + PIECE_BYTES]) for at in range(0, len(whole), PIECE_BYTES)]
+    return pd.DataFrame({"dim": dim, "shard": int(part["shard"].iloc[0]), "part": range(len(pieces)), "piece": pieces})
+
+
+def _load(pieces: list[bytes]) -> tuple[Graph, np.ndarray, np.ndarray]:
+    data = np.load(io.BytesIO(b"".join(pieces)))
+    exact, layers = unit_rows(data["vectors"]), []
+    for i in range(sum(name.startswith("layer") for name in data.files)):
+        near = data[f"layer{i}"]
+        layers.append(np.full((len(exact), 2 * LINKS if i == 0 else LINKS), -1, np.int64))
+        layers[i][data[f"at{i}"]] = near
+    return Graph(exact.astype(np.float32), exact, layers, int(data["entry"][0])), data["nodes"], data["weights"]
 
 
-def _load(blob: bytes) -> tuple[Graph, np.ndarray, np.ndarray]:
-    data = np.load(io.BytesIO(blob))
-    layers = [data[f"layer{i}"].astype(np.int64) for i in range(sum(name.startswith("layer") for name in data.files))]
-    exact = unit_rows(data["vectors"])
-    return Graph(exact.astype(np.float32), exact, layers, int(data["entry"][0])), data["nodes"], data["weights"]
+def _links(graph: Graph, nodes: np.ndarray, weights: np.ndarray, mine: np.ndarray, asked: np.ndarray, radius: float) -> pa.RecordBatch:
+    """(a, b, n) of a block of queries: links of its forest, and counts where b is -1."""
+    audit = np.array([xxhash.xxh32_intdigest(int(x).to_bytes(8, "little")) % AUDIT_EVERY == 0 for x in mine])
+    place = np.minimum(np.searchsorted(nodes, mine[audit]), len(nodes) - 1)
+    beam = beam_for(graph, asked[audit], radius, own=np.where(nodes[place] == mine[audit], place, -1))
+    every, place = np.unique(np.concatenate([mine, nodes]), return_inverse=True)
+    of_query, of_node = place[: len(mine)], place[len(mine) :]
+    forest, counted = Forest(len(every)), np.zeros(len(mine))
+    for q, k in links_within(graph, asked, beam, radius):
+        other = mine[q] != nodes[k]
+        q, k = q[other], k[other]
+        forest.add(of_query[q], of_node[k])
+        counted += np.bincount(q, weights[k], len(mine))
+    a, b = forest.links()
+    some = np.flatnonzero(counted)
+    cells = np.concatenate([mine[some], every[a]]), np.concatenate([np.full(len(some), -1), every[b]]), np.concatenate([counted[some].astype(np.int64), np.zeros(len(a), np.int64)])
+    return pa.record_batch([pa.array(c, pa.int64()) for c in cells], names=["a", "b", "n"])
+
+
+def _query_shards(radius: float):
+    """Over sorted rows: of each shard and group of blocks the pieces of its graph (block -1), then the queries by block."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block, pieces, held, opened = None, -1, [], [], None
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            nonlocal opened, pieces, held
+            if pieces:
+                opened, pieces = _load(pieces), []
+            # A shard without vectors has no graph.
+            if held and opened is not None:
+                mine = np.concatenate([n for n, _ in held])
+                yield _links(*opened, mine, unit_rows(np.frombuffer(b"".join(v for _, v in held), np.float32).reshape(len(mine), -1)), radius)
+            held = []
 
-def _query_shard(radius: float):
-    def run(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(graphs) or not len(queries):
-            return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
-        graph, nodes, weights = _load(graphs["graph"].iloc[0])
-        mine, asked = queries["node"].to_numpy(), unit_rows(_matrix(queries["vec"], graph.unit.shape[1]))
-        audit = np.array([xxhash.xxh32_intdigest(int(x).to_bytes(8, "little")) % AUDIT_EVERY == 0 for x in mine])
-        row = {int(x): k for k, x in enumerate(nodes)}
-        own = np.array([row.get(int(x), -1) for x in mine[audit]], np.int64)
-        beam = beam_for(graph, asked[audit], radius, own=own)
-        every, place = np.unique(np.concatenate([mine, nodes]), return_inverse=True)
-        of_query, of_node = place[: len(mine)], place[len(mine) :]
-        forest, counted = Forest(len(every)), np.zeros(len(mine))
-        for q, k in links_within(graph, asked, beam, radius):
-            other = mine[q] != nodes[k]
-            q, k = q[other], k[other]
-            forest.add(of_query[q], of_node[k])
-            counted += np.bincount(q, weights[k], len(mine))
-        a, b = forest.links()
-        some = np.flatnonzero(counted)
-        return pd.DataFrame({"a": np.concatenate([mine[some], every[a]]), "b": np.concatenate([np.full(len(some), -1), every[b]]), "n": np.concatenate([counted[some].astype(np.int64), np.zeros(len(a), np.int64)])})
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
+            for a, b in zip(cuts, cuts[1:]):
+                if (new := tuple(keys[:3, a].tolist())) != at or keys[3, a] != block:
+                    yield from answered()
+                    if new != at:
+                        opened = None
+                    at, block = new, int(keys[3, a])
+                data = batch.column("data").slice(a, b - a).to_pylist()
+                if block < 0:
+                    pieces += data
+                else:
+                    held.append((batch.column("node").slice(a, b - a).to_numpy(), b"".join(data)))
+        yield from answered()
 
     return run
 
@@ -361,14 +409,19 @@ def near_duplicates(vectors: DataFrame, radius: float = RADIUS, shard_rows: int
     per_dim = lambda values: F.create_map(*[F.lit(x) for item in values.items() for x in item])[F.col("dim")]
     dealt = first.withColumn("shard", F.pmod(F.xxhash64("node"), per_dim(number)).cast("int"))
     tasks = max(sum(number.values()), 1)
-    graphs = staged(dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(_build_shard, "dim int, shard int, graph binary"), "graphs")
+    graphs = staged(dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(_build_shard, "dim int, shard int, part int, piece binary"), "graphs")
 
+    together = max(1, sum(number[d] * blocks[d] for d in shape) // PAIRS_WANTED)
+    groups = {d: -(-n // together) for d, n in blocks.items()}
+    vectors.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     block = F.pmod(F.xxhash64("node", F.lit(1)), per_dim(blocks)).cast("int")
     asked = first.select("dim", "node", "vec", block.alias("block"), F.explode(F.sequence(F.lit(0), per_dim(number) - 1)).alias("shard"))
-    offered = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), per_dim(blocks) - 1)))
-    keys, tasks = ["dim", "shard", "block"], max(sum(number[d] * blocks[d] for d in shape), 1)
-    pairs = offered.repartition(tasks, *keys).groupBy(*keys).cogroup(asked.repartition(tasks, *keys).groupBy(*keys))
-    found = staged(pairs.applyInPandas(_query_shard(radius), "a long, b long, n long"), "vector-links")
+    asked = asked.select("dim", "shard", F.floor(F.col("block") / together).cast("int").alias("group"), "block", F.lit(0).alias("part"), "node", F.col("vec").alias("data"))
+    offered = graphs.withColumn("group", F.explode(F.sequence(F.lit(0), per_dim(groups) - 1)))
+    offered = offered.select("dim", "shard", "group", F.lit(-1).alias("block"), "part", F.lit(-1).cast("long").alias("node"), F.col("piece").alias("data"))
+    keys, tasks = ["dim", "shard", "group"], max(sum(number[d] * groups[d] for d in shape), 1)
+    pairs = offered.unionByName(asked).repartition(tasks, *keys).sortWithinPartitions(*keys, "block", "part", "node")
+    found = staged(for_workers(pairs).mapInArrow(_query_shards(radius), "a long, b long, n long"), "vector-links")
 
     forest = found.where("b >= 0").select("a", "b")
     # The forest says what is reachable, not what is linked: links are counted where they are verified.

@@ -107,3 +107,24 @@ def test_links_of_chains_are_counted_at_their_ends_only(rows):
     df = rows([(i, v, 0, "x", 1) for i, v in items], SCHEMA)
     got = h.near_duplicates(df, shard_rows=5, block_rows=4, least_shards=2).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, 1 if i in (0, 11) else 2, 0) for i in range(12)]
+
+
+def test_graphs_travel_in_pieces(rows, monkeypatch):
+    """No row is as large as a graph, and a block is the same whether it gets the graph alone or with others."""
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    x = vectors(rng, (30, 2, 2), 0.04, 900, 64)
+    made = h._build_shard(pd.DataFrame({"dim": 64, "shard": 0, "node": range(len(x)), "weight": 1, "vec": [v.tobytes() for v in x]}))
+    assert len(made) > 1 and made["piece"].str.len().max() <= h.PIECE_BYTES
+    graph, nodes, _ = h._load(list(made["piece"]))
+    direct = h.build(h.unit_rows(x), np.arange(len(x)))
+    assert (nodes == np.arange(len(x))).all() and graph.entry == direct.entry
+    assert all((a == b).all() for a, b in zip(graph.layers, direct.layers, strict=True))
+    df = rows([(i, v, 0, "x", 1) for i, v in enumerate(x.tolist())], SCHEMA)
+    got = []
+    for wanted in (h.PAIRS_WANTED, 3):
+        monkeypatch.setattr(h, "PAIRS_WANTED", wanted)
+        got.append(sorted(tuple(r) for r in h.near_duplicates(df, shard_rows=300, block_rows=100, least_shards=2).collect()))
+    n_links, label = slow(list(enumerate(x)))
+    assert got[0] == got[1] == [(i, int(n), int(c), i == c) for i, (n, c) in enumerate(zip(n_links, label))]
