@@ -74,6 +74,14 @@ def test_features_apply_equals_fit(spark, cleaned, tmp_path):
     assert part.columns == fitted.columns
 
 
+def test_a_fit_works_out_dates_texts_and_lookups_once(cleaned, tmp_path):
+    """The fitting passes read a stage behind them; new rows go through without one."""
+    fitted, state = fit_features(cleaned.limit(40), 2024, work_folder=str(tmp_path))
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["encoded", "features"]
+    plan = fitted._jdf.queryExecution().toString()
+    assert state.apply(cleaned).columns == fitted.columns and "encoded-" not in plan and len(list(tmp_path.iterdir())) == 2
+
+
 @pytest.fixture(scope="module")
 def regression(spark):
     rng = np.random.default_rng(1)

@@ -174,3 +174,19 @@ def test_rare_values(spark):
     df = spark.range(300).select(F.when(F.col("id") < 2, "odd").when(F.col("id") < 5, "few").when(F.col("id") < 9, None).otherwise("m").alias("mark"))
     out = E.rare_flag(df, "mark").groupBy("mark").agg(F.max("is_rare_mark").alias("r")).collect()
     assert {r["mark"]: r["r"] for r in out} == {"odd": 1, "few": 0, None: 0, "m": 0}
+
+
+def test_many_columns_are_measured_a_dozen_at_a_time(spark, monkeypatch):
+    """One aggregate over all columns of a wide table isn't compiled."""
+    df = spark.range(200).select(*[(F.col("id") % (i + 2) + 0.5).alias(f"c {i}.x") for i in range(30)])
+    pdf, widths, real = df.toPandas(), [], type(df).agg
+
+    def agg(self, *columns):
+        widths.append(len(columns))
+        return real(self, *columns)
+
+    monkeypatch.setattr(type(df), "agg", agg)
+    scale = S.fit_scale(df, df.columns)
+    middle = Q.quantiles(df, {c: [0.5] for c in df.columns}, 100)
+    assert max(widths) <= 3 * 12
+    assert all(np.allclose(scale[c], (pdf[c].mean(), pdf[c].std(ddof=0))) and middle[c] == [pdf[c].median()] for c in df.columns)
